@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipstrata.llm.mixing import mix
 from clipstrata.llm.ranking import Criterion, outranking
 from clipstrata.llm.splits import assign, components, sample_key
+from clipstrata.llm.tokens import DEFAULT, with_tokens
 from clipstrata.llm.topn import top_n
 from clipstrata.queries import Registry
-from clipstrata.session import cut, finite, latest
+from clipstrata.session import cut, finite, latest, stored
 from clipstrata.sources.tables import clip_scene, stated_scene, table
 
 REG = Registry()
@@ -136,3 +138,27 @@ SELECT scene, clip FROM named QUALIFY row_number() OVER (PARTITION BY scene ORDE
 def p5_found(spark: SparkSession, where: str) -> DataFrame:
     jitter = F.coalesce(-F.when(~F.isnan("depth_jitter"), F.col("depth_jitter")), F.lit(float("nan")))  # NaN sorts last
     return top_n(scene_scores(spark, where), "scene", "semantic_flicker", 3, [jitter, F.col("clip")], ["clip"]).select("scene", "clip")
+
+
+def mixed(spark: SparkSession, where: str) -> tuple[DataFrame, DataFrame]:
+    path = spark.conf.get("clipstrata.tokenizer", DEFAULT)
+    docs = with_tokens(table(spark, where, "documents").select("doc_id", "source", "text"), "text", path=path)
+    return mix(stored(docs, "tokens"), table(spark, where, "mix_targets"))
+
+
+@REG.add("p7_found")
+def p7_found(spark: SparkSession, where: str) -> DataFrame:
+    """Sources that can't reach their target."""
+    return mixed(spark, where)[1].filter("short").select("source")
+
+
+@REG.add("p7_mix")
+def p7_mix(spark: SparkSession, where: str) -> DataFrame:
+    """The documents of the mix and how often each goes in."""
+    return mixed(spark, where)[0]
+
+
+@REG.add("p7_shares")
+def p7_shares(spark: SparkSession, where: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return mixed(spark, where)[1]
