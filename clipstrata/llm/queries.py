@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipstrata.llm.leaks import leaks
 from clipstrata.llm.mixing import mix
 from clipstrata.llm.ranking import Criterion, outranking
 from clipstrata.llm.splits import assign, components, sample_key
@@ -162,3 +163,15 @@ def p7_mix(spark: SparkSession, where: str) -> DataFrame:
 def p7_shares(spark: SparkSession, where: str) -> DataFrame:
     """Target and actual share of each source."""
     return mixed(spark, where)[1]
+
+
+@REG.add("p6_found")
+def p6_found(spark: SparkSession, where: str) -> DataFrame:
+    """Documents that hold a passage of an item."""
+    return leaks(table(spark, where, "documents").select("doc_id", "text"), table(spark, where, "eval_items").select("item_id", "text"))
+
+
+@REG.add("p6_items")
+def p6_items(spark: SparkSession, where: str) -> DataFrame:
+    """In how many documents each leaked item stands."""
+    return p6_found(spark, where).groupBy("item_id").agg(F.count("*").alias("documents"))
