@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipstrata.llm.garble import garbled
 from clipstrata.llm.leaks import leaks
 from clipstrata.llm.mixing import mix
 from clipstrata.llm.ranking import Criterion, outranking
@@ -175,3 +176,15 @@ def p6_found(spark: SparkSession, where: str) -> DataFrame:
 def p6_items(spark: SparkSession, where: str) -> DataFrame:
     """In how many documents each leaked item stands."""
     return p6_found(spark, where).groupBy("item_id").agg(F.count("*").alias("documents"))
+
+
+@REG.add("p8_found")
+def p8_found(spark: SparkSession, where: str) -> DataFrame:
+    """Documents that were decoded with the wrong encoding."""
+    return garbled(table(spark, where, "documents").select("doc_id", "text")).select("doc_id")
+
+
+@REG.add("p8_restored")
+def p8_restored(spark: SparkSession, where: str) -> DataFrame:
+    """The garbled documents with their restored text."""
+    return garbled(table(spark, where, "documents").select("doc_id", "text"))
