@@ -91,7 +91,7 @@ def camera_scale(predicted: DataFrame, true: DataFrame, key: str, frame: str, *,
     """
     both = predicted.alias("p").join(true.alias("t"), [key, frame]).select(key, frame, F.struct("p.x", "p.y", "p.z").alias("_p"), F.struct("t.x", "t.y", "t.z").alias("_t"))
     ahead = Window.partitionBy(key).orderBy(frame).rowsBetween(1, reach)
-    pairs = both.withColumn("_o", F.explode(F.collect_list(F.struct(F.col("_p").alias("p"), F.col("_t").alias("t"))).over(ahead)))
+    pairs = both.withColumn("_a", F.collect_list(F.struct(F.col("_p").alias("p"), F.col("_t").alias("t"))).over(ahead)).withColumn("_o", F.explode("_a"))
     dist = lambda a, b: F.sqrt(sum(((a[c] - b[c]) ** 2 for c in "xyz"), F.lit(0.0)))
     d = pairs.select(key, dist(F.col("_p"), F.col("_o.p")).alias("dp"), dist(F.col("_t"), F.col("_o.t")).alias("dt")).filter((F.col("dt") > baseline) & (F.col("dp") > 1e-9))
     d = d.withColumn("r", F.col("dt") / F.col("dp"))

@@ -150,7 +150,7 @@ def synonyms(spark: SparkSession, where: str) -> DataFrame:
 
 @REG.add(
     "log_triage",
-    r"""WITH l AS (SELECT doc_id, text, list_filter(string_split(text, chr(10)), x -> trim(x) <> '') AS a FROM documents WHERE text IS NOT NULL
+    r"""WITH l AS (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS a FROM documents WHERE text IS NOT NULL
 ), t AS (SELECT doc_id, text, a[-1] AS last FROM l)
 SELECT CASE WHEN last IS NULL THEN 'empty' WHEN regexp_matches(last, 'Shard \d+ finished') THEN 'finished' WHEN contains(text, 'mask was empty') THEN 'raised' ELSE 'killed' END AS verdict, count(*) AS n FROM t GROUP BY verdict""",
 )
@@ -182,8 +182,8 @@ def declared_shards(spark: SparkSession, where: str) -> DataFrame:
 LATEST_QUALITY = "WITH q AS (SELECT * FROM quality WHERE clip IS NOT NULL QUALIFY row_number() OVER (PARTITION BY clip ORDER BY written_at DESC NULLS LAST) = 1)"
 REASONS_SQL = LATEST_QUALITY + """, r AS (
   SELECT clip, list_concat(list_filter([CASE WHEN lower(trim(verdict)) = 'reject' THEN 'verdict' END, CASE WHEN depth_temporal < 3 THEN 'depth_temporal < 3' END, CASE WHEN depth_accuracy < 3 THEN 'depth_accuracy < 3' END,
-    CASE WHEN semantic_temporal < 3 THEN 'semantic_temporal < 3' END, CASE WHEN semantic_accuracy < 3 THEN 'semantic_accuracy < 3' END], x -> x IS NOT NULL),
-    list_sort(list_distinct(list_transform(list_filter(coalesce(issues, []), i -> lower(i.severity) = 'major'), i -> 'major ' || lower(i.track) || ' ' || lower(i.kind))))) AS reasons,
+    CASE WHEN semantic_temporal < 3 THEN 'semantic_temporal < 3' END, CASE WHEN semantic_accuracy < 3 THEN 'semantic_accuracy < 3' END], lambda x: x IS NOT NULL),
+    list_sort(list_distinct(list_transform(list_filter(coalesce(issues, []), lambda i: lower(i.severity) = 'major'), lambda i: 'major ' || lower(i.track) || ' ' || lower(i.kind))))) AS reasons,
     round((coalesce(depth_temporal, 0) + coalesce(depth_accuracy, 0) + coalesce(semantic_temporal, 0) + coalesce(semantic_accuracy, 0)) / 20.0, 3) AS score FROM q)"""
 
 
@@ -223,7 +223,7 @@ def quality_audit(spark: SparkSession, where: str) -> DataFrame:
     + """, p AS (SELECT clip, list_filter([CASE WHEN NOT coalesce(depth_temporal BETWEEN 1 AND 5, false) THEN 'depth_temporal off the scale' END, CASE WHEN NOT coalesce(depth_accuracy BETWEEN 1 AND 5, false) THEN 'depth_accuracy off the scale' END,
   CASE WHEN NOT coalesce(semantic_temporal BETWEEN 1 AND 5, false) THEN 'semantic_temporal off the scale' END, CASE WHEN NOT coalesce(semantic_accuracy BETWEEN 1 AND 5, false) THEN 'semantic_accuracy off the scale' END,
   CASE WHEN NOT coalesce(lower(trim(verdict)) IN ('accept', 'reject'), false) THEN 'unknown verdict' END,
-  CASE WHEN len(list_filter(issues, i -> NOT coalesce(lower(i.track) IN ('depth', 'semantic') AND lower(i.severity) IN ('minor', 'major'), false))) > 0 THEN 'unknown track or severity' END], x -> x IS NOT NULL) AS a FROM q)
+  CASE WHEN len(list_filter(issues, lambda i: NOT coalesce(lower(i.track) IN ('depth', 'semantic') AND lower(i.severity) IN ('minor', 'major'), false))) > 0 THEN 'unknown track or severity' END], lambda x: x IS NOT NULL) AS a FROM q)
 SELECT clip, len(a) AS n, array_to_string(a, '; ') AS problems FROM p WHERE len(a) > 0""",
 )
 def judge_validate(spark: SparkSession, where: str) -> DataFrame:

@@ -57,8 +57,7 @@ SELECT day, event_type, n FROM d WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) -
 )
 def stream_daily_counts(spark: SparkSession, where: str) -> DataFrame:
     """Days that the watermark has closed."""
-    e = table(spark, where, "events").select("ts", "event_type")
-    src = spark.readStream.schema(e.schema).parquet(f"{where}/events.parquet")
+    src = _source(spark, table(spark, where, "events").select("ts", "event_type"), "events")
     out, mark = new_folder(spark, "days"), new_folder(spark, "state")
     stateful.run_to_table(stateful.daily_counts(src), out, mark, "append")
     return spark.read.parquet(out).select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")
