@@ -79,6 +79,14 @@ def _flows(rank: DataFrame, value: str, n: int, q: int, p: int) -> DataFrame:
     return rank.join(got, rank["place"] == got["_me"]).select(value, "less", F.col("n").alias("ties"), plus.alias("plus"), minus.alias("minus"))
 
 
+def _joined(base: DataFrame, flow: DataFrame, value: str, n: int, heavy: int = 1000) -> DataFrame:
+    """Every item with the flows of its value. Values that more than one in ``heavy`` items have, of which there are fewer
+    than ``heavy``, are broadcast; the others are joined by a shuffle, in which no value is hot."""
+    hot = F.broadcast(flow.filter(F.col("ties") * heavy > n).drop("ties"))
+    cold = flow.filter(F.col("ties") * heavy <= n).drop("ties")
+    return base.join(hot, value).unionByName(base.join(hot.select(value), value, "left_anti").join(cold, value))
+
+
 def outranking(
     items: DataFrame, key: str, criteria: list[Criterion], *, indifferent: float = INDIFFERENT, preferred: float = PREFERRED
 ) -> DataFrame:
@@ -103,8 +111,8 @@ def outranking(
     for i, c in enumerate(criteria):
         flow = _flows(places(base, f"_v{i}"), f"_v{i}", n, q, p)
         mine = ((F.col("plus") - F.col("minus")) / F.lit(float(p - q) * max(n - 1, 1))).alias(f"{c.column}_net")
-        flow = flow.select(f"_v{i}", F.col("less").alias(f"{c.column}_worse_than"), mine)
-        base = base.join(flow, f"_v{i}")
+        flow = stored(flow.select(f"_v{i}", "ties", F.col("less").alias(f"{c.column}_worse_than"), mine), "flow")
+        base = stored(_joined(base, flow, f"_v{i}", n), "items")
         net = net + F.lit(c.weight / whole) * F.col(f"{c.column}_net")
     scores = [x for i, c in enumerate(criteria) for x in ((F.col(f"_v{i}") if c.worse == "high" else -F.col(f"_v{i}")).alias(c.column), F.col(f"{c.column}_worse_than"), F.col(f"{c.column}_net"))]
     out = base.select(F.col("_k").alias(key), F.round(net, 12).alias("net"), F.lit(n).alias("compared"), *scores)
