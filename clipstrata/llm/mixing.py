@@ -116,7 +116,10 @@ def mix(
     cuts = counts.select("_source", "_n", "_h", "_c", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_o")).join(take, ["_source", "_n"])
     nth = F.row_number().over(Window.partitionBy("_source", "_n", "_h").orderBy("_x", "_doc")) + F.col("_o")
     chosen = d.join(cuts.select("_source", "_n", "_h", "_o", "_take"), ["_source", "_n", "_h"]).withColumn("_i", nth)
-    chosen = chosen.join(plan.select("_source", "_full"), "_source")
+    full = plan.select("_source", "_full")
+    if plan.count() <= 100_000:  # some 40 bytes a source, so that no source is a hot key of the join
+        full = F.broadcast(full)
+    chosen = chosen.join(full, "_source")
     times = (F.col("_full") + F.when(F.col("_i") <= F.col("_take"), 1).otherwise(0)).cast("long")
     out = chosen.select(F.col("_doc").alias(doc), F.col("_source").alias(source), F.col("_n").alias(tokens), times.alias("times")).filter("times > 0")
     picked = take.groupBy("_source").agg(F.sum(F.col("_n") * F.col("_take")).alias("_picked"))
