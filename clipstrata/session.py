@@ -37,11 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
-    """A size in the session's settings, which may carry a unit."""
-    text = str(spark.conf.get(key, str(default))).strip().lower().removesuffix("b")
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
-    return int(float(text if unit == 1 else text[:-1]) * unit)
+def bounded_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Batches that go to Python end at this many bytes as well as rows, so long texts need no more memory than short ones.
+    A size that the session already states stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, size)
 
 
 def latest(df: DataFrame, keys: list[str], by: str, keep: list[str]) -> DataFrame:
