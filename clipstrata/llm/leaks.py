@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipstrata.session import bounded_batches
+
 _INLINE = re.compile(r"</?(?:a|b|i|u|s|em|strong|span|sub|sup|mark|small|code|font|q)(?:\s[^<>]*)?>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
@@ -124,7 +126,7 @@ class Index:
         for n, (_, zh, run) in enumerate(self.parts):
             ids = self.ids[zh]
             seq = [ids.setdefault(w, len(ids) + 1) for w in run]
-            self.seqs.append(np.array(seq, np.int32))
+            self.seqs.append(seq)
             for i, g in self._grams(zh, seq):
                 self.at[g].append((n, i))
         self.number = {g: i for i, g in enumerate(self.at)}
@@ -157,7 +159,7 @@ class Index:
         self.prefix = set()
         for n, (_, zh, run) in enumerate(self.parts):
             k, least = self.p.shingle, self.p.least_chars if zh else self.p.least
-            grams = [g for _, g in self._grams(zh, self.seqs[n].tolist())]
+            grams = [g for _, g in self._grams(zh, self.seqs[n])]
             rarity = np.array([held_by.get(self.number[g], 0) for g in grams])
             order = np.lexsort((np.arange(len(grams)), rarity)).argsort()
             a, b = np.arange(len(grams))[:, None], np.arange(len(grams))[None, :]
@@ -181,13 +183,12 @@ class Index:
                 for n, i in self.at[g]:
                     if n in ask:
                         by[n].append((i, j))
-            stream = np.array(seq, np.int32)
             for n, pairs in by.items():
-                if self.parts[n][0] not in out and self._holds(n, zh, stream, pairs):
+                if self.parts[n][0] not in out and self._holds(n, zh, seq, pairs):
                     out.add(self.parts[n][0])
         return out
 
-    def _holds(self, n: int, zh: bool, stream: np.ndarray, pairs: list[tuple[int, int]]) -> bool:
+    def _holds(self, n: int, zh: bool, stream: list[int], pairs: list[tuple[int, int]]) -> bool:
         seq, p = self.seqs[n], self.p
         least, k = p.least_chars if zh else p.least, p.shingle
         slack, reach = len(seq) // p.one_in, len(seq) + len(seq) // p.one_in
@@ -213,33 +214,44 @@ class Index:
         return False
 
 
-def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, least: int, one_in: int) -> bool:
+def aligned(item: list[int], text: list[int], low: int, high: int, least: int, one_in: int) -> bool:
     """True if some window of at least ``least`` words of ``item``, which starts and ends with words that are in the text,
-    aligns with a stretch of ``text`` at no more edits than one in ``one_in`` of its words, on diagonals low..high.
+    aligns with a stretch of ``text`` at no more edits than one in ``one_in`` of its words, with its start on one of the
+    diagonals low..high (text place less item place). Ids above 0 are equal or not; 0 equals nothing.
 
-    score[d, n]: the best of (words - one_in x edits) over alignments that end on diagonal low + d (text place less item
-    place) with n words, ``least`` and more counting alike. Ids above 0 are equal or not; 0 equals nothing.
+    From every start of a run of equal words, the furthest item place is kept for each number of edits and diagonal, and
+    extended along equal words: of windows with one start and as many edits, the longest is all that matters.
     """
-    never, wide = -(10**6), high - low + 1
-    score = np.full((wide, least + 1), never, np.int32)
-    step = (one_in * np.arange(wide, dtype=np.int32))[:, None]
-    for i, w in enumerate(item):
-        same = np.zeros(wide, bool)  # text places i + low .. i + high
-        a, b = max(i + low, 0), min(i + high + 1, len(text))
-        if a < b:
-            same[a - i - low : b - i - low] = text[a:b] == w
-        up = np.full_like(score, never)
-        up[:, 1:] = score[:, :-1] + 1
-        np.maximum(up[:, least], score[:, least] + 1, out=up[:, least])
-        new = np.where(same[:, None], up, up - one_in)  # same or changed
-        starts = same.nonzero()[0]
-        if len(starts):
-            new[starts, 1] = np.maximum(new[starts, 1], 1)
-            if (new[starts, least] >= 0).any():
-                return True
-        new[:-1] = np.maximum(new[:-1], up[1:] - one_in)  # dropped in the text
-        new = np.maximum.accumulate(new + step, axis=0) - step  # added in the text
-        score = np.where(new < -one_in * least, never, new)
+    n, m = len(item), len(text)
+    at: dict[int, list[int]] = defaultdict(list)
+    for j in range(max(0, low), min(m, n + high)):
+        if text[j]:
+            at[text[j]].append(j)
+    for i0, w in enumerate(item):
+        if n - i0 < least:
+            return False
+        for j0 in at.get(w, ()):
+            if not low <= j0 - i0 <= high or (i0 and j0 and item[i0 - 1] == text[j0 - 1]):
+                continue  # out of the band, or a run that starts earlier is the longer window
+            reach = {j0 - i0: i0}
+            for edits in range((n - i0) // one_in + 1):
+                far: dict[int, int] = {}
+                for d, i in reach.items():
+                    start = i
+                    while i < n and i + d < m and item[i] == text[i + d] and item[i]:
+                        i += 1
+                    if i > start and i - i0 >= max(least, one_in * edits):
+                        return True
+                    # with more edits than this the window's end alone is a passage, or no end makes it one
+                    if i - i0 + least < one_in * (edits + 1):
+                        continue
+                    # changed, dropped, added
+                    for e, k in ((d, i + 1), (d - 1, i + 1), (d + 1, i)):
+                        if k <= n and k > far.get(e, -1):
+                            far[e] = k
+                if not far:
+                    break
+                reach = far
     return False
 
 
@@ -251,6 +263,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", text: str =
     """
     p = passage or Passage()
     spark = docs.sparkSession
+    bounded_batches(spark)
     own = items.select(F.col(item).alias("i"), F.col(item_text).alias("t")).dropna()
     chars_ = own.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars_ // BLOCK_CHARS))
