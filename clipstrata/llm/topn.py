@@ -5,7 +5,7 @@
    row groups. No task holds a group: ranges are cut within groups too.
 2. *Statistics.* The footers give each row group's first and last group and its greatest score, one row a row group.
 3. *Read, in descending order of maximum score.* In a first wave every group is read where its scores are highest: the row
-   groups with the greatest maximum among those that start with the group, and all that hold more than one group. This
+   groups with the greatest maxima, as many as hold N rows, and all that hold more than one group. This
    gives every group's N-th score so far. In a second wave the remaining row groups are read, but for those whose maximum
    is strictly below the N-th score of every group they hold. Equal maxima are read, so that ties are settled among all.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from clipstrata.session import new_folder, stored
 
-#: Bytes of a row group; a group is skipped in units of this.
+#: Bytes of a row group; a group is skipped in units of this. Larger ones suit larger tables.
 ROW_GROUP = 256 << 10
 
 STATS = "file string, row_group int, first string, last string, best double, n long"
@@ -30,7 +30,7 @@ def _open(path: str):
     import pyarrow.fs as fs
     import pyarrow.parquet as pq
 
-    where, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}") if not path.startswith("file:/") or path.startswith("file://") else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    where, inner = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
     return pq.ParquetFile(where.open_input_file(inner))
 
 
@@ -61,7 +61,7 @@ def _reader(columns: list[str]):
     return read
 
 
-def _best(rows: DataFrame, n: int, ties: list[str], salts: int = 1) -> DataFrame:
+def _best(rows: DataFrame, n: int, ties: list[str]) -> DataFrame:
     order = [F.col("_s").desc(), *[F.col(c) for c in ties]]
     return rows.withColumn("_i", F.row_number().over(Window.partitionBy("_g").orderBy(*order))).filter(F.col("_i") <= n)
 
@@ -91,14 +91,17 @@ def top_n(items: DataFrame, group: str, score: str, n: int, ties: list[Column],
     tasks = max(1, min(len(files), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     stats = stored(listing.repartition(tasks).mapInArrow(_footers, STATS), "footers")
     # first wave: several groups in one row group, no statistics, or the highest of those that hold one group alone
-    nth = F.row_number().over(Window.partitionBy("first").orderBy(F.col("best").desc(), "file", "row_group"))
-    alone = stats.filter(F.col("first") == F.col("last")).withColumn("_r", nth)
+    # those of a group that come before N rows are together, in descending maximum: found within each file, then among files
+    ahead = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(F.col("best").desc(), "file", "row_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    alone = stats.filter(F.col("first") == F.col("last"))
+    lead = alone.withColumn("_n", ahead("first", "file")).filter(F.col("_n") < n).withColumn("_n", ahead("first")).filter(F.col("_n") < n)
+    lead = stored(lead.select("file", "row_group"), "lead")
     mixed = stats.filter(F.coalesce(F.col("first") != F.col("last"), F.lit(True)))
     ask = lambda df: df.select("file", "row_group").repartition(tasks, "file", "row_group")
     read = lambda df: ask(df).mapInArrow(_reader(schema.names), schema)
-    wave = _best(read(mixed.select("file", "row_group").unionByName(alone.filter("_r = 1").select("file", "row_group"))), n, tie)
+    wave = _best(read(mixed.select("file", "row_group").unionByName(lead)), n, tie)
     wave = stored(wave.select(*schema.names), "wave")
     floor = wave.groupBy("_g").agg(F.count("*").alias("_n"), F.min("_s").alias("_m")).filter(F.col("_n") >= n)
-    rest = alone.filter("_r > 1").join(floor, F.col("first") == F.col("_g"), "left")
+    rest = alone.join(lead, ["file", "row_group"], "left_anti").join(floor, F.col("first") == F.col("_g"), "left")
     rest = rest.filter(F.col("_m").isNull() | (F.col("best") >= F.col("_m")))
     return _best(wave.unionByName(read(rest)), n, tie).select(*out)
