@@ -128,12 +128,13 @@ def scene_scores(spark: SparkSession, where: str) -> DataFrame:
     return s.withColumn("scene", F.coalesce(stated_scene(F.col("scene")), clip_scene(F.col("clip"))))
 
 
+# NaN is excluded by what it isn't: where a file's statistics name no NaN, the SQL engine takes isnan() to be false throughout
 @REG.add(
     "p5_found",
     LATEST_SQL
     + """, named AS (
   SELECT clip, coalesce(CASE WHEN trim(scene) NOT IN ('', '?') THEN scene END, 'seg_' || split_part(clip, '_', 2)) AS scene, semantic_flicker AS f,
-    CASE WHEN isnan(depth_jitter) THEN NULL ELSE depth_jitter END AS j FROM sc WHERE semantic_flicker IS NOT NULL AND NOT isnan(semantic_flicker)
+    CASE WHEN isfinite(depth_jitter) OR abs(depth_jitter) = 'infinity'::DOUBLE THEN depth_jitter END AS j FROM sc WHERE isfinite(semantic_flicker) OR abs(semantic_flicker) = 'infinity'::DOUBLE
 )
 SELECT scene, clip FROM named QUALIFY row_number() OVER (PARTITION BY scene ORDER BY f DESC, j DESC NULLS LAST, clip) <= 3""",
 )

@@ -9,6 +9,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from clipstrata.session import bounded_batches
+
 #: Fixed value: the pieces the byte-level vocabulary was made for.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 DEFAULT = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -46,6 +48,7 @@ def count(text: str | None, path: str = DEFAULT) -> int:
 
 def with_tokens(df: DataFrame, text: str, out: str = "n_tokens", *, path: str = DEFAULT) -> DataFrame:
     """Adds the number of tokens; 0 for null and empty texts. The text itself is dropped, so it is never shuffled."""
+    bounded_batches(df.sparkSession)
     rest = [f for f in df.schema if f.name != text]
     df = df.select(*[df[f.name] for f in rest], df[text])
 
