@@ -20,6 +20,8 @@ too, doesn't vouch for itself.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipstrata.session import cut
+from clipstrata.session import bounded_batches, cut
 
 #: Natural logarithms: the cost of a change of state, and of what a state can't emit.
 SWITCH, NEVER = 4.6, -25.0
@@ -42,6 +44,7 @@ _HIGH = re.compile("[\x80-\xff]")
 _GB = re.compile("[\xa1-\xf7][\xa1-\xfe]")
 _SJIS = re.compile("[\x81-\x9f\xe0-\xef][\x40-\x7e\x80-\xfc]")
 _BEYOND = re.compile("[^\x00-\x7f]")
+_RUN = re.compile("[^\x00-\x7f]+")
 
 
 def _bytes_of(*codecs: str) -> dict[int, str]:
@@ -144,6 +147,8 @@ def possible(have: set[str], pair: Pair) -> bool:
     upper, lower = _CHARS[pair.read]
     if pair.piece is _UTF8:
         return not have.isdisjoint(upper) and not have.isdisjoint(lower)
+    if pair.true in ("cp1251", "koi8-r"):  # all letters but two lie in the upper half
+        return not have.isdisjoint(upper)
     return not (have.isdisjoint(upper) and have.isdisjoint(lower))
 
 
@@ -197,6 +202,7 @@ class Language:
         for c, k in chars.items():
             self.blocks[ord(c) >> 7] += k
         self.kept: dict[str, float] = {}
+        self.known: dict[str, list[tuple[int, int, str]]] = {}
         self.fold: dict[str, float] | None = None
 
     def one(self, c: str) -> float:
@@ -226,11 +232,37 @@ class Language:
 
 
 def label(text: str, lang: Language, pairs: tuple[Pair, ...] = PAIRS) -> list[tuple[int, int, str]]:
-    """(start, stop, state) of the spans that the best path gives to other states than the clean one."""
+    """(start, stop, state) of the spans that the best path gives to other states than the clean one.
+
+    Plain characters away from others change no path, so what is labelled is the others with a neighbour on each side.
+    Short ones of these recur in many documents and are labelled once a worker.
+    """
     if text.isascii():
         return []
+    starts, stops, last = [], [], 0
+    for m in _RUN.finditer(text):
+        starts.append(max(m.start() - 1, last))
+        stops.append(last := min(m.end() + 1, len(text)))
+    view = "".join(map(text.__getitem__, map(slice, starts, stops)))
+    found = lang.known.get(view)
+    if found is None:
+        found = _labelled(view, lang, pairs)
+        if len(view) <= 64 and len(lang.known) < 1 << 18:
+            lang.known[view] = found
+    if not found:
+        return []
+    ahead = list(itertools.accumulate((b - a for a, b in zip(starts, stops)), initial=0))
+
+    def place(i: int) -> int:
+        k = bisect.bisect_right(ahead, i) - 1
+        return starts[k] + i - ahead[k]
+
+    return [(place(a), place(b - 1) + 1, state) for a, b, state in found]
+
+
+def _labelled(text: str, lang: Language, pairs: tuple[Pair, ...]) -> list[tuple[int, int, str]]:
     at = [m.start() for m in _BEYOND.finditer(text)]
-    clean = {i: lang.after(text[i - 1] if i else "", text[i]) for i in at}
+    clean: dict[int, float] = {}
     rows: list[tuple[str, dict[int, float]]] = []
     if "�" in text:
         rows.append((LOST, {i: -1.0 for i in at if text[i] == "�"}))
@@ -247,20 +279,28 @@ def label(text: str, lang: Language, pairs: tuple[Pair, ...] = PAIRS) -> list[tu
             last, before = b, c
         if not scores:
             continue
+        clean = clean or {i: lang.after(text[i - 1] if i else "", text[i]) for i in at}
         if p.read[0] in _WIDE and "�" in text:  # bytes lost on the way leave their neighbours undecoded
             for i in at:
                 if text[i] == "�":
                     scores.update({j: -3.0 for j in (i - 1, i, i + 1) if 0 <= j < len(text) and j not in scores and text[j] > "\x7f"})
         # the most that this state can gain over the clean one in one stretch
         best = run = 0.0
-        for i in sorted({*at, *scores}):
-            gain = scores.get(i, NEVER) - (clean[i] if i in clean else math.log(lang.one(text[i])))
-            run = max(0.0, run + gain)
-            best = max(best, run)
+        if p.piece is _SJIS:  # whose pieces have plain characters too
+            gains = [scores.get(i, NEVER) - (clean[i] if i in clean else math.log(lang.one(text[i]))) for i in sorted({*at, *scores})]
+        else:
+            gains = [scores.get(i, NEVER) - clean[i] for i in at]
+        for gain in gains:
+            run += gain
+            if run < 0.0:
+                run = 0.0
+            elif run > best:
+                best = run
         if best > 2 * SWITCH:
             rows.append((p.name, scores))
     if not rows:
         return []
+    clean = clean or {i: lang.after(text[i - 1] if i else "", text[i]) for i in at}
     places = sorted({*at, *(i for _, s in rows for i in s)})
     value, back = [0.0] + [-SWITCH] * len(rows), []
     for i in places:
@@ -354,6 +394,7 @@ def garbled(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> Data
     columns are ignored. An empty table gives an empty result.
     """
     kind = dict(docs.dtypes)[doc]
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(language(docs, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
