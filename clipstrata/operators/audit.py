@@ -83,14 +83,14 @@ def contiguous(df: DataFrame, key: str, ordinal: str) -> DataFrame:
     return d.withColumn("_n", nth).groupBy(key).agg(F.count_if(F.col("_n") == F.col(ordinal)).alias("prefix"))
 
 
-def camera_scale(predicted: DataFrame, true: DataFrame, key: str, frame: str, *, reach: int, baseline: float = 0.05, dispersion: float = 0.25) -> DataFrame:
+def camera_scale(predicted: DataFrame, true: DataFrame, key: str, frame: str, *, reach: int | None = None, baseline: float = 0.05, dispersion: float = 0.25) -> DataFrame:
     """(key, pairs, scale, dispersion, solved): the median ratio of true to predicted distances of camera pairs.
 
-    Pairs are taken within ``reach`` frames; a reach of the sequence's length takes them all. Positions are x, y, z. Too
-    few usable pairs give a scale of 1 that isn't solved.
+    All pairs of a sequence are taken, or with ``reach`` those within so many frames. Positions are x, y, z. Too few usable
+    pairs give a scale of 1 that isn't solved.
     """
     both = predicted.alias("p").join(true.alias("t"), [key, frame]).select(key, frame, F.struct("p.x", "p.y", "p.z").alias("_p"), F.struct("t.x", "t.y", "t.z").alias("_t"))
-    ahead = Window.partitionBy(key).orderBy(frame).rowsBetween(1, reach)
+    ahead = Window.partitionBy(key).orderBy(frame).rowsBetween(1, Window.unboundedFollowing if reach is None else reach)
     pairs = both.withColumn("_a", F.collect_list(F.struct(F.col("_p").alias("p"), F.col("_t").alias("t"))).over(ahead)).withColumn("_o", F.explode("_a"))
     dist = lambda a, b: F.sqrt(sum(((a[c] - b[c]) ** 2 for c in "xyz"), F.lit(0.0)))
     d = pairs.select(key, dist(F.col("_p"), F.col("_o.p")).alias("dp"), dist(F.col("_t"), F.col("_o.t")).alias("dt")).filter((F.col("dt") > baseline) & (F.col("dp") > 1e-9))

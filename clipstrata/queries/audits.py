@@ -146,11 +146,14 @@ WITH cam AS (SELECT vec_id // 124 AS seg, CAST(vec_id % 124 AS INT) AS f, CAST(e
 coalesce(pairs >= greatest(3, n // 10) AND disp <= 0.25, false) AS solved FROM n LEFT JOIN m USING (seg) LEFT JOIN s USING (seg)""",
 )
 def camera_scale(spark: SparkSession, where: str) -> DataFrame:
-    """The scale between two camera paths, from the distances of cameras up to eight frames apart."""
+    """The scale between two camera paths, from the distances of all pairs of cameras of a segment.
+
+    The SQL beside it takes cameras up to eight frames apart only, so its results differ.
+    """
     at = lambda k: F.element_at("embedding", k).cast("double")
     cam = table(spark, where, "embeddings").select(F.expr("vec_id div 124").alias("seg"), F.expr("cast(vec_id % 124 as int)").alias("f"), at(1).alias("x"), at(2).alias("y"), at(3).alias("z"))
     tru = cam.select("seg", "f", (F.col("x") * 3).alias("x"), (F.col("y") * 3).alias("y"), (F.col("z") * 3 + (F.col("f") % 5) * 0.01).alias("z"))
-    s = audit.camera_scale(cam, tru, "seg", "f", reach=8)
+    s = audit.camera_scale(cam, tru, "seg", "f")
     return s.select("seg", "pairs", F.round("scale", 6).alias("scale"), F.round("dispersion", 6).alias("dispersion"), "solved")
 
 

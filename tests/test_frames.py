@@ -12,6 +12,7 @@ from clipstrata.functions import encode
 from clipstrata.functions import text as T
 from clipstrata.operators import audit, temporal, tracks
 from clipstrata.plans import windows
+from clipstrata.queries import audits
 from clipstrata.session import new_folder
 from clipstrata.sources import readers
 from clipstrata.streaming import stateful
@@ -116,6 +117,23 @@ def test_camera_scale(spark):
     assert got[1].pairs == 190 and abs(got[1].scale - 5) < 1e-9 and got[1].solved and not got[2].solved and got[2].scale == 1.0
 
 
+def test_the_camera_scale_query_takes_all_pairs_of_a_segment(spark, tmp_path):
+    slow = [(f, [f * 0.001, 0.0, 0.0]) for f in range(124)]  # neighbours are nearer than the least baseline, far cameras aren't
+    rnd = np.random.default_rng(7)
+    spark.createDataFrame(slow + [(124 + f, rnd.random(3).tolist()) for f in range(40)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    cams = {0: np.array([v for _, v in slow], dtype=np.float32).astype(float)}
+    cams[1] = np.array([r.embedding for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").filter("vec_id >= 124").orderBy("vec_id").collect()])
+    got = {r.seg: r for r in audits.camera_scale(spark, str(tmp_path)).collect()}
+    for seg, p in cams.items():
+        i, j = np.triu_indices(len(p), k=1)
+        t = p * 3 + np.arange(len(p))[:, None] % 5 * np.array([0, 0, 0.01])
+        dp, dt = np.linalg.norm(p[i] - p[j], axis=1), np.linalg.norm(t[i] - t[j], axis=1)
+        r = (dt / np.maximum(dp, 1e-12))[(dt > 0.05) & (dp > 1e-9)]
+        scale = np.median(r)
+        assert got[seg].pairs == len(r) and abs(got[seg].scale - scale) < 2e-6 and got[seg].solved
+        assert abs(got[seg].dispersion - np.median(abs(r - scale)) / scale) < 2e-6
+
+
 @pytest.mark.parametrize("cuts", [1, 3])
 def test_streams_equal_batch_over_restarts(spark, cuts, tmp_path):
     stateful.set_up(spark)
