@@ -13,9 +13,10 @@ The best path is found exactly. Where no pair can gain more over the clean state
 path is known to be clean, which is how most documents end after one scan. Each labelled span gets its state's inverse
 transform; a pair of one-byte encodings must also make more likely words when letter case is left aside.
 
-Counts come from all documents but those that hold pieces of UTF-8 read as a one-byte encoding, or lost characters. A pair
-of characters counts only if at least one in ``1 / SEEN`` documents has it, so that garbled text, which is in the counts
-too, doesn't vouch for itself.
+Counts come from all documents but those that a first model finds garbled; the first model is that of the documents without
+pieces of UTF-8 read as a one-byte encoding and without lost characters, and judges the others. A pair of characters counts
+only if at least one in ``1 / SEEN`` documents has it, so that garbled text, some of which is in the counts too, doesn't
+vouch for itself.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -347,13 +348,14 @@ def restore(text: str | None, lang: Language, pairs: tuple[Pair, ...] = PAIRS) -
 
 
 def _suspect(text: str) -> bool:
-    """Holds UTF-8 read as a one-byte encoding, or lost characters: kept out of the counts."""
+    """Holds a piece of UTF-8 read as a one-byte encoding, or lost characters: may be garbled, which a model has to tell."""
     have = set(text)
     return "�" in have or any(p.piece is _UTF8 and p.read[0] not in _WIDE and p.rounds == 1 and possible(have, p) and pieces(text, p) for p in PAIRS)
 
 
-def language(docs: DataFrame, text: str) -> Language:
-    """Counts over all documents. Only pairs of characters that one in ``1 / SEEN`` documents has come to the driver."""
+def _counted(docs: DataFrame, text: str, keep: Callable[[str], bool]) -> DataFrame:
+    """(k, n, d): characters and pairs of characters of the documents that ``keep`` accepts, how often they stand there and
+    in how many documents. The empty key has the number of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, held, docs_ = Counter(), Counter(), 0
@@ -365,10 +367,10 @@ def language(docs: DataFrame, text: str) -> Language:
         for b in batches:
             for t in b.column(0).to_pylist():
                 docs_ += 1
-                if t.isascii():
-                    n.update(t)
-                elif not _suspect(t):
-                    n.update(t)
+                if not keep(t):
+                    continue
+                n.update(t)
+                if not t.isascii():
                     two = Counter(a + c for a, c in zip(t, t[1:]) if c > "\x7f")
                     n.update(two)
                     held.update(two.keys())
@@ -378,14 +380,28 @@ def language(docs: DataFrame, text: str) -> Language:
                 docs_ = 0
         yield out()
 
-    counts = docs.select(F.col(text).alias("t")).dropna().mapInArrow(count, "k string, n long, d long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
-    counts = cut(counts)
-    total = counts.filter("k = ''").first()
-    least = max(2, int(SEEN * (total.d if total else 0)))
+    return docs.select(F.col(text).alias("t")).dropna().mapInArrow(count, "k string, n long, d long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+
+
+def _model(counts: DataFrame, least: int) -> Language:
     chars = {r.k: r.n for r in counts.filter("length(k) = 1").collect()}  # at most as many as there are characters
     return Language(chars, {r.k: r.n for r in counts.filter((F.length("k") == 2) & (F.col("d") >= least)).collect()})
 
 
+def language(docs: DataFrame, text: str) -> Language:
+    """Counts over all documents but those that a first model, of the documents without any suspect piece, finds garbled.
+
+    Only pairs of characters that one in ``1 / SEEN`` documents has come to the driver.
+    """
+    sure = cut(_counted(docs, text, lambda t: t.isascii() or not _suspect(t)))
+    total = sure.filter("k = ''").first()
+    least = max(2, int(SEEN * (total.d if total else 0)))
+    first = docs.sparkSession.sparkContext.broadcast(_model(sure, least))
+    rest = _counted(docs, text, lambda t: not t.isascii() and _suspect(t) and restore(t, first.value) is None)
+    counts = sure.unionByName(rest).filter("k <> ''").groupBy("k").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    return _model(cut(counts), least)
+
+
 def garbled(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, text, states, whole): the garbled documents with their restored text, the pairs met, and whether all of the
     original could be recovered (a lost character can't).

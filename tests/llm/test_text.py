@@ -216,3 +216,13 @@ def test_garbled_texts_are_found_and_restored(spark):
     wrong = [(k, got[k].states, got[k].text) for k, t in truth.items() if k in got and t and got[k].text != t]
     assert len(wrong) <= 0.2 * len(truth), wrong
     assert garbled(df.limit(0)).count() == 0 and WESTERN
+
+
+def test_counts_take_in_clean_documents_with_suspect_pieces(spark):
+    fr = "L’équipe a été relevée à l’écart, près du réverbère déjà sélectionné."
+    assert garble._suspect(fr)  # a quote and an accented e are a piece of UTF-8 read as mac-roman
+    sure = CLEAN["fr"] + " Près de l’arbre, l’allée d’accès."
+    rows = [(sure,)] * 40 + [(fr,)] * 20 + [(spoil(CLEAN["fr"], PAIRS[0]),)] * 5 + [("caf�",), (None,), ("",), ("plain",)]
+    lang = garble.language(spark.createDataFrame(rows, "text string"), "text")
+    assert not garble._suspect(sure) and lang.pairs["’é"] == 40 and lang.chars["’"] == 120 + 40 and lang.chars["q"] == 40 + 20
+    assert "Ã" not in lang.chars and "�" not in lang.chars
