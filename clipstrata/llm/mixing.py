@@ -1,4 +1,5 @@
-"""A mix of sources at target weights, to the token where a subset of the documents allows it.
+"""A mix of sources at target weights, to the token where a subset of the documents allows it (above ``EXACT`` tokens of
+budget: of those documents that the last ``EXACT`` tokens leave open).
 
 A source's budget is its target share of the mix. The source goes in whole as often as the budget holds it, at most
 ``max_repeats`` times. For what remains, its documents are counted by exact length; a proportional part of each length is
@@ -24,7 +25,8 @@ def fit(lengths: list[int], counts: list[int], budget: int, *, exact: int = EXAC
     """How many documents of each length make the greatest sum that is at most ``budget``.
 
     Proportional parts first; then single documents from long to short until at most ``exact`` tokens remain; then a
-    subset-sum over the rest, with one bit for each reachable sum and counts split in powers of two.
+    subset-sum over the rest. While it doesn't meet the budget, more documents that were taken go back, of all lengths, until
+    the rest is ``exact`` tokens: a budget up to that is met as nearly as any subset meets it.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
     if total <= budget:
@@ -41,13 +43,26 @@ def fit(lengths: list[int], counts: list[int], budget: int, *, exact: int = EXAC
         took[i] += more
         left -= more * lengths[i]
     # a document already taken may go back: with one of each longest length returned, small rests can be met as well
-    for i in order[:4]:
-        if took[i] and left + lengths[i] <= exact:
-            took[i] -= 1
-            left += lengths[i]
+    many, back = 1, order[:4]
+    while True:
+        before = left
+        for i in back:
+            n = max(0, min(took[i], many, (exact - left) // lengths[i]))
+            took[i] -= n
+            left += n * lengths[i]
+        if left > before or back is not order:
+            more, open_ = _subset(lengths, [c - t for c, t in zip(counts, took)], left, order)
+        if not open_ or (left == before and back is order):
+            return [t + m for t, m in zip(took, more)]
+        many, back = many * 2 if back is order else 1, order
+
+
+def _subset(lengths: list[int], free_of: list[int], left: int, order: list[int]) -> tuple[list[int], int]:
+    """How many documents of each length make the greatest sum up to ``left``, and what stays open: with one bit for each
+    reachable sum and counts split in powers of two."""
     mask, sums, items = (1 << (left + 1)) - 1, [1], []
     for i in reversed(order):
-        free, part = min(counts[i] - took[i], left // lengths[i]), 1
+        free, part = min(free_of[i], left // lengths[i]), 1
         while free and not sums[-1] >> left & 1:
             n = min(part, free)
             items.append((i, n))
@@ -55,13 +70,14 @@ def fit(lengths: list[int], counts: list[int], budget: int, *, exact: int = EXAC
             free, part = free - n, part * 2
         if sums[-1] >> left & 1:
             break
-    best = sums[-1].bit_length() - 1
+    took, best = [0] * len(lengths), sums[-1].bit_length() - 1
+    open_ = left - best
     for k in range(len(items), 0, -1):
         i, n = items[k - 1]
         if not sums[k - 1] >> best & 1:
             took[i] += n
             best -= n * lengths[i]
-    return took
+    return took, open_
 
 
 def _plan(exact: int):

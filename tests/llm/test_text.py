@@ -133,6 +133,22 @@ def test_fit_equals_best_subset():
     assert 7 * big[0] + 11 * big[1] + 1000 * big[2] == 55_555_555
 
 
+def test_fit_meets_every_budget_that_a_subset_meets():
+    assert sum(n * k for n, k in zip([10, 100, 101, 102, 103], fit([10, 100, 101, 102, 103], [2] * 5, 509))) == 509
+    rnd = random.Random(9)
+    for _ in range(150):
+        lengths = sorted(rnd.sample(range(1, 200), rnd.randint(1, 6)))
+        counts = [rnd.randint(1, 4) for _ in lengths]
+        budget = rnd.randint(0, sum(n * c for n, c in zip(lengths, counts)) + 5)
+        took = fit(lengths, counts, budget)
+        sums = {sum(n * k for n, k in zip(lengths, ks)) for ks in itertools.product(*[range(c + 1) for c in counts])}
+        assert all(0 <= t <= c for t, c in zip(took, counts))
+        assert sum(n * t for n, t in zip(lengths, took)) == max(s for s in sums if s <= budget)
+    # above the window as well: proportional parts leave 16, which only longer documents that go back can meet
+    big = fit([100, 101, 102, 103, 104, 105], [1000] * 6, 300_016, exact=1 << 10)
+    assert sum(n * t for n, t in zip([100, 101, 102, 103, 104, 105], big)) == 300_016
+
+
 def test_mix(spark):
     docs = [(i, " A " if i % 2 else "a", 3 + i % 5, "x") for i in range(200)] + [(300 + i, "small", 10, "x") for i in range(3)] + [(400, None, 5, "x"), (401, "other", 5, "x"), (402, "a", 0, "x"), (403, "a", None, "x"), (None, "a", 4, "x")]
     want = [("a", 0.5, 3), ("SMALL", 0.4, 2), ("none", 0.1, 5), (None, 0.0, 1)]
