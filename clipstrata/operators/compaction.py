@@ -4,7 +4,8 @@ A listing names the files, the group (clip) each belongs to, its rows and bytes.
 transaction:
 
 1. *What is new.* Files that a committed transaction has taken in are left out. Earlier outputs that stayed small are
-   taken in again, so that files grow level by level from call to call. If nothing is new, nothing is done.
+   taken in again, so that files grow level by level from call to call, and so are those that hold a record which comes
+   again, so that its copies are counted over all calls. If nothing is new, nothing is done.
 2. *Plan*, on the listing alone. Groups are hashed to as many outputs as the bytes fill at ``target``. Within an output, files of one size tier (sizes within a factor of
    ``fan``) are merged to files of the next, tier by tier, up to the output. A merge that the same transaction consumes
    again is recorded but not written: each record is written once, not once a level.
@@ -25,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clipstrata.session import cut
+
 #: Record numbers of a group that stay together.
 BLOCK = 1 << 20
 #: Bytes that a file counts at least, which bounds the files of an output.
@@ -175,7 +178,6 @@ def compact(
     )
     block = F.coalesce(F.expr(f"_n div {BLOCK}"), F.lit(0)).cast("long")
     recs = recs.withColumn("_b", block).withColumn("_c", F.lit(1).cast("long"))
-    old = kept = None
     if earlier:
         log = journal(spark, root)
         taken = log.select(F.explode("inputs").alias("path")).distinct()
@@ -193,15 +195,17 @@ def compact(
     plan = files.filter("n_rows > 0 OR n_bytes > 0").join(large, "seg", "left")
     part = F.when(F.col("_m") > 1, F.pmod(F.xxhash64("path"), F.col("_m"))).otherwise(0).cast("long")
     plan = plan.select("path", F.col("seg").alias("_g"), part.alias("_b"), "n_rows", "n_bytes")
-    if earlier:  # outputs that stayed small come in again, with the records they hold
+    if earlier:  # outputs that stayed small, or hold a record that comes again, come in again with the records they hold
         last = log.filter(F.col("level") == tiers.levels - 1).select(F.concat("txn", F.lit("/"), "output").alias("out"), F.col("n_bytes").alias("_size"))
-        small = last.join(taken.withColumnRenamed("path", "out"), "out", "left_anti").filter(F.col("_size") < tiers.target // 2)
         live = read(spark, root)
         flat = live.select(
             *[F.col(c).alias(n) for c, n in zip(key, names)], F.col("_group").alias("_g"), F.col(number).alias("_n"), F.col(value).alias("_v"), F.col("out").alias("_f"), F.col("copies").alias("_c")
         ).withColumn("_b", block)
+        same = F.expr(" AND ".join(f"l.{n} <=> r.{n}" for n in [*names, "_n"]))
+        again = flat.alias("l").join(recs.alias("r"), same, "left_semi").select(F.col("_f").alias("out"), F.lit(True).alias("_again")).distinct()
+        small = last.join(taken.withColumnRenamed("path", "out"), "out", "left_anti").join(again, "out", "left")
+        small = cut(small.filter((F.col("_size") < tiers.target // 2) | F.coalesce("_again", F.lit(False))).drop("_again"))
         old = flat.join(small.select(F.col("out").alias("_f")), "_f", "left_semi")
-        kept = flat.join(small.select(F.col("out").alias("_f")), "_f", "left_anti").select(*names, "_n")
         recs = recs.unionByName(old)
         share = old.groupBy("_f", "_g", "_b").agg(F.count("*").alias("n_rows")).join(small.withColumnRenamed("out", "_f"), "_f")
         share = share.withColumn("_all", F.sum("n_rows").over(Window.partitionBy("_f")))
@@ -211,9 +215,6 @@ def compact(
     out = F.format_string("f%05d", F.pmod(F.hash("_g", "_b"), F.lit(buckets)))
     # copies are combined before they move: a record that a third of all rows repeat is one row a task by then
     recs = recs.groupBy("_g", "_b", *names, "_n").agg(F.min("_v").alias("_v"), F.sum("_c").alias("_c"))
-    if kept is not None:
-        same = F.expr(" AND ".join(f"l.{n} <=> r.{n}" for n in [*names, "_n"]))
-        recs = recs.alias("l").join(kept.alias("r"), same, "left_anti")
     merges = plan.withColumn("out", out).groupBy("out", "path").agg(F.min("_g").alias("seg"), F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
     merges = merges.groupBy("out").applyInPandas(_tiered(tiers, txn), JOURNAL)
     if mark["e"]:  # empty files hold nothing to write and are only taken in

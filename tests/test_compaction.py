@@ -73,6 +73,22 @@ def test_new_files_join_small_outputs(spark, target):
     assert sorted(held) == sorted({x[:3] for x in recs + more})
 
 
+@pytest.mark.parametrize("target", [4 << 10, 128 << 20])
+def test_copies_count_over_transactions_whatever_the_outputs_size(spark, target):
+    recs, files = make(spark, 12)
+    recs += [("s0", None, 3, 103, "plan/0/0.json", "x", "y")]
+    more, later = make(spark, 6, 9)
+    more = [(s, i, k, o - 50, f"late/{f}", x, y) for s, i, k, o, f, x, y in more] + [("s0", None, 3, 7, "late/plan/9/0.json", "x", "y")]
+    root, tiers = new_folder(spark, "c"), Tiers(base=512, fan=4, target=target)
+    compaction.compact(*frames(spark, recs, files), root, tiers=tiers)
+    compaction.compact(*frames(spark, recs + more, files + [(f"late/{p}", *x) for p, *x in later]), root, tiers=tiers)
+    want = {}
+    for s, i, k, o, *_ in recs + more:
+        want.setdefault((s, i, k), []).append(o)
+    held = compaction.read(spark, root).collect()
+    assert {(r.scene, r.idx, r.k): (r.ordinal, r.copies) for r in held} == {x: (min(v), len(v)) for x, v in want.items()} and len(held) == len(want)
+
+
 def test_missing_numbers(spark):
     held = spark.createDataFrame([("a", 0, 0), ("a", 0, 2), ("a", 0, -1), ("a", 0, 99), ("a", 0, None), ("b", 0, 0)], "scene string, idx int, k int")
     due = spark.createDataFrame([("a", 0, 4), ("a", 0, 5), ("b", 0, 1), ("c", 1, 2), ("d", 0, None), (None, 0, 3), ("e", 0, 0)], "scene string, idx int, frames int")
