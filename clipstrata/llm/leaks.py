@@ -15,11 +15,13 @@ compared without mark-up, case, punctuation, width variants and invisible charac
 * *Verification.* In that band an alignment finds whether any window of the item has few enough edits, exactly.
 
 Wording that stands in ``common`` or more items (``wording`` words in a row of a sentence) is no item's own and is cut out
-of the items before. Items come in blocks of bounded size, and documents are read where they lie: no text is shuffled.
+of the items before. It is counted over all items, however many
+blocks they fill. Items come in blocks of bounded size, and documents are read where they lie: no text is shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import unicodedata
@@ -29,10 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipstrata.session import bounded_batches
+from clipstrata.session import bounded_batches, stored
 
 _INLINE = re.compile(r"</?(?:a|b|i|u|s|em|strong|span|sub|sup|mark|small|code|font|q)(?:\s[^<>]*)?>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
@@ -80,29 +82,43 @@ def unspaced(text: str) -> bool:
     return 3 * len(_UNSPACED.findall(text)) > sum(map(str.isalnum, text))
 
 
-def own_stretches(items: list[tuple[int, str]], p: Passage) -> list[tuple[int, bool, list[str]]]:
-    """(item, by characters?, words): what is left of each item without the wording of several items."""
-    read = []
-    for item, text in items:
-        if not text:
-            continue
-        text = plain(text)
-        zh = unspaced(text)
-        read.append((item, zh, [w for s in _SENTENCE.split(text) if (w := chars(s) if zh else words(s))]))
-    holders: dict[tuple, set[int]] = defaultdict(set)
+def _sentences(text: str) -> tuple[bool, list[list[str]]]:
+    """(by characters?, words of each sentence)."""
+    text = plain(text)
+    zh = unspaced(text)
+    return zh, [w for s in _SENTENCE.split(text) if (w := chars(s) if zh else words(s))]
+
+
+def _wordings(s: list[str], zh: bool, p: Passage) -> list[tuple]:
+    k = p.wording_chars if zh else p.wording
+    return [tuple(s[i : i + k]) for i in range(max(1, len(s) - k + 1))]
+
+
+def _digest(g: tuple) -> bytes:
+    return hashlib.blake2b("\0".join(g).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def own_stretches(items: list[tuple[int, str]], p: Passage, shared: set[bytes] | None = None) -> list[tuple[int, bool, list[str]]]:
+    """(item, by characters?, words): what is left of each item without the wording of several items.
+
+    ``shared``: digests of that wording, where there are more items than these.
+    """
+    read = [(item, *_sentences(text)) for item, text in items if text]
     size = lambda zh: p.wording_chars if zh else p.wording
-    grams = lambda s, k: [tuple(s[i : i + k]) for i in range(max(1, len(s) - k + 1))]
-    for item, zh, sentences in read:
+    grams = lambda s, zh: _wordings(s, zh, p)
+    holders: dict[tuple, set[int]] = defaultdict(set)
+    for item, zh, sentences in read if shared is None else []:
         for s in sentences:
-            for g in grams(s, size(zh)):
+            for g in grams(s, zh):
                 holders[g].add(item)
+    common = (lambda g: len(holders[g]) >= p.common) if shared is None else lambda g: _digest(g) in shared
     out = []
     for item, zh, sentences in read:
         k, run = size(zh), []
         for s in sentences:
             cut = [False] * len(s)
-            for i, g in enumerate(grams(s, k)):
-                if len(holders[g]) >= p.common:
+            for i, g in enumerate(grams(s, zh)):
+                if common(g):
                     cut[i : i + k] = [True] * len(cut[i : i + k])
             for w, c in zip(s, cut):
                 if not c:
@@ -118,8 +134,8 @@ def own_stretches(items: list[tuple[int, str]], p: Passage) -> list[tuple[int, b
 class Index:
     """The shingles of one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], p: Passage) -> None:
-        self.p, self.parts = p, own_stretches(items, p)
+    def __init__(self, items: list[tuple[int, str]], p: Passage, shared: set[bytes] | None = None) -> None:
+        self.p, self.parts = p, own_stretches(items, p, shared)
         self.ids: tuple[dict[str, int], dict[str, int]] = ({}, {})
         self.at: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
         self.seqs = []
@@ -255,6 +271,25 @@ def aligned(item: list[int], text: list[int], low: int, high: int, least: int, o
     return False
 
 
+def _shared(own: DataFrame, kind: str, blocks: int, p: Passage) -> DataFrame:
+    """(b, h): for each block of items the digests of wording in it that stands in several items of any block."""
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, t in enumerate(batch.column(1).to_pylist()):
+                zh, sentences = _sentences(t)
+                h = list({_digest(g) for s in sentences for g in _wordings(s, zh, p)})
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([row] * len(h), pa.int64())), pa.array(h, pa.binary())], names=["i", "h"])
+
+    held = stored(own.mapInArrow(grams, f"i {kind}, h binary").distinct(), "wording")
+    several = held.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= p.common)
+    return stored(held.join(several, "h", "left_semi").select(_block(blocks).alias("b"), "h").distinct(), "shared")
+
+
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("i"), F.lit(blocks))
+
+
 def leaks(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", passage: Passage | None = None) -> DataFrame:
     """(doc, item): each document with each item of which it holds a passage, once.
 
@@ -270,9 +305,11 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", text: str =
     d = docs.select(F.col(doc).alias("d"), F.col(text).alias("t")).dropna()
     kind = dict(docs.dtypes)[doc], dict(items.dtypes)[item]
     out = None
+    several = _shared(own, kind[1], blocks, p) if blocks > 1 else None
     for b in range(blocks):
-        part = own if blocks == 1 else own.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)
-        index = Index([(r.i, r.t) for r in part.collect()], p)  # a block is bounded by BLOCK_CHARS
+        part = own if blocks == 1 else own.filter(_block(blocks) == b)
+        shared = None if several is None else {bytes(r.h) for r in several.filter(F.col("b") == b).collect()}
+        index = Index([(r.i, r.t) for r in part.collect()], p, shared)  # a block is bounded by BLOCK_CHARS
         held = spark.sparkContext.broadcast(index)
 
         def rarity(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

@@ -118,6 +118,16 @@ def test_leaks_on_tables(spark):
     assert words(plain("Café <b>A</b>-B")) == ["café", "a", "b"]
 
 
+def test_wording_of_items_in_different_blocks_is_cut(spark, monkeypatch):
+    opening = "Answer with the number of seconds or with the name of one class and give no reason for it in any case unless the question itself asks for one"
+    tail = lambda i: " ".join(f"w{i}x{k}" for k in range(25))
+    items = spark.createDataFrame([(i, f"{opening}. {tail(i)}.") for i in range(6)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, opening), (2, "some words " + tail(4)), (3, opening + ". " + tail(2))], "doc_id long, text string")
+    for size in (1 << 24, 400):
+        monkeypatch.setattr("clipstrata.llm.leaks.BLOCK_CHARS", size)
+        assert sorted(map(tuple, leaks(docs, items).collect())) == [(2, 4), (3, 2)]
+
+
 def test_fit_equals_best_subset():
     rnd = random.Random(8)
     for _ in range(80):
