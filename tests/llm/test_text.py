@@ -1,10 +1,11 @@
 import itertools
+import math
 import random
 
 import pytest
 
 from clipstrata.llm import garble
-from clipstrata.llm.garble import PAIRS, WESTERN, garbled, inverse
+from clipstrata.llm.garble import PAIRS, WESTERN, Language, View, garbled, inverse
 from clipstrata.llm.leaks import Index, Passage, aligned, leaks, own_stretches, plain, words
 from clipstrata.llm.mixing import fit, mix
 from clipstrata.llm.tokens import DEFAULT, PIECE, count, encoding, with_tokens
@@ -246,9 +247,78 @@ def test_garbled_texts_are_found_and_restored(spark):
 
 def test_counts_take_in_clean_documents_with_suspect_pieces(spark):
     fr = "L’équipe a été relevée à l’écart, près du réverbère déjà sélectionné."
-    assert garble._suspect(fr)  # a quote and an accented e are a piece of UTF-8 read as mac-roman
     sure = CLEAN["fr"] + " Près de l’arbre, l’allée d’accès."
+    # a quote and an accented e are a piece of UTF-8 read as mac-roman
+    assert View([fr, sure]).suspect().tolist() == [True, False]
     rows = [(sure,)] * 40 + [(fr,)] * 20 + [(spoil(CLEAN["fr"], PAIRS[0]),)] * 5 + [("caf�",), (None,), ("",), ("plain",)]
     lang = garble.language(spark.createDataFrame(rows, "text string"), "text")
-    assert not garble._suspect(sure) and lang.pairs["’é"] == 40 and lang.chars["’"] == 120 + 40 and lang.chars["q"] == 40 + 20
-    assert "Ã" not in lang.chars and "�" not in lang.chars
+    chars, pairs = dict(zip(lang.codes.tolist(), lang.held.tolist())), dict(zip(lang.keys.tolist(), lang.counts.tolist()))
+    assert pairs[ord("’") << 21 | ord("é")] == 40 and chars[ord("’")] == 120 + 40 and chars[ord("q")] == 40 + 20
+    assert ord("Ã") not in chars and ord("�") not in chars
+
+
+def spans_by_hand(text, lang):
+    """The best path, one character at a time, with every pair offered."""
+    clean = [lang.after(text[i - 1] if i else "", c) if ord(c) > 0x7F else math.log(lang.one(c)) for i, c in enumerate(text)]
+    rows = [(garble.LOST, {i: -1.0 for i, c in enumerate(text) if c == "�"})] if "�" in text else []
+    for p in PAIRS:
+        score, last, before = {}, -1, ""
+        for a, b, c in garble.pieces(text, p):
+            s = lang.after(before if a == last else text[a - 1] if a else "", c) / (b - a)
+            for i in range(a, b):
+                score[i] = score.get(i, 0.0) + s if p.read[0] in garble._WIDE else s
+            last, before = b, c
+        if p.read[0] in garble._WIDE:
+            near = {j for i, c in enumerate(text) if c == "�" for j in (i - 1, i + 1) if 0 <= j < len(text) and text[j] > "\x7f" and j not in score}
+            score.update({j: clean[j] - 1.0 for j in near} | {i: -3.0 for i, c in enumerate(text) if c == "�"})
+        best = run = 0.0
+        for i, c in enumerate(text):
+            run = max(0.0, run + (score.get(i, garble.NEVER if c > "\x7f" else clean[i]) - clean[i]))
+            best = max(best, run)
+        if best > 2 * garble.SWITCH:
+            rows.append((p.name, score))
+    value, back = [0.0] + [-garble.SWITCH] * len(rows), []
+    for i, c in enumerate(text):
+        top = max(range(len(value)), key=value.__getitem__)
+        back.append([k if x >= value[top] - garble.SWITCH else top for k, x in enumerate(value)])
+        value = [max(x, value[top] - garble.SWITCH) + (clean[i] if not k else rows[k - 1][1].get(i, garble.NEVER if c > "\x7f" else clean[i])) for k, x in enumerate(value)]
+    state = max(range(len(value)), key=lambda k: value[k] - (garble.SWITCH if k else 0.0))
+    states = []
+    for step in reversed(back):
+        states.append(state)
+        state = step[state]
+    return [rows[k - 1][0] if k else "" for k in reversed(states)]
+
+
+def test_spans_equal_the_best_path_by_hand(spark):
+    texts = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").select("text").collect() if r.text and not r.text.isascii()]
+    texts += list(CLEAN.values()) + ["X — " + spoil(CLEAN[k][:n], p) + " y" for k in CLEAN for n in (2, 5, 60) for p in PAIRS if _can(CLEAN[k][:n], p)]
+    view = View(texts)
+    lang = Language(*view.counts(~view.suspect()))
+    marks, found = view.look(lang)[0], view.spans(lang)
+    for i, t in enumerate(texts):
+        want = {j: x for j, x in enumerate(spans_by_hand(t, lang)) if x and t[j] > "\x7f"}
+        got = {j: x for a, b, x in found.get(i, []) for j in range(a, b) if t[j] > "\x7f"}
+        assert got == want and (marks[i].any() or not want), t
+    assert len(found) > 60
+
+
+def _can(text, pair):
+    try:
+        return bool(spoil(text, pair))
+    except UnicodeEncodeError:
+        return False
+
+
+def test_a_rare_language_is_no_garbled_text(spark):
+    """Two documents in a thousand are in a language that no other has; the garbled ones are as many and still found."""
+    pl = "Źrebię żółte ścięło łąkę, a gęś już śpi; późną porą wróciła też mała świnka."
+    rows = [(i, CLEAN["ru"] if i % 2 else CLEAN["de"]) for i in range(3000)] + [(5000 + i, pl) for i in range(6)] + [(6000 + i, spoil(CLEAN["ru"], p)) for i, p in enumerate(p for p in PAIRS if p.true in ("cp1251", "koi8-r", "cp866"))]
+    got = {r.doc_id for r in garbled(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i for i, _ in rows if i >= 6000}
+
+
+def test_short_spans_of_utf8_read_as_gbk_are_offered_to_the_model(spark):
+    zh = CLEAN["zh"]
+    bad = zh[:5] + "——".encode().decode("gbk", "replace")[:3] + zh[5:]
+    assert garble.pieces(bad, next(p for p in PAIRS if p.name == "utf-8 as gbk"))
