@@ -3,18 +3,22 @@
 A listing names the files, the group (clip) each belongs to, its rows and bytes. One call of ``compact`` is one
 transaction:
 
-1. *What is new.* Files that a committed transaction has taken in are left out. Earlier outputs that stayed small are
-   taken in again, so that files grow level by level from call to call, and so are those that hold a record which comes
-   again, so that its copies are counted over all calls. If nothing is new, nothing is done.
-2. *Plan*, on the listing alone. Groups are hashed to as many outputs as the bytes fill at ``target``. Within an output, files of one size tier (sizes within a factor of
-   ``fan``) are merged to files of the next, tier by tier, up to the output. A merge that the same transaction consumes
-   again is recorded but not written: each record is written once, not once a level.
-3. *Journal, prepared.* Every merge with its inputs, output and level, under a name made from the inputs.
-4. *Data.* Repeated records become one row with its number of copies, counted before they are moved; one more shuffle puts
-   the records of an output together, and each becomes one file. Names depend on the inputs only, so a repeat after a crash replaces what was left.
-5. *Journal, committed.* Readers see only outputs of committed transactions which no later one took in.
-
-A group larger than ``BLOCK`` record numbers is split by blocks of them, so that no group is bound to one task.
+1. *What is new.* Files that a committed transaction has taken in are left out; if nothing is new, nothing is done.
+2. *What is ripe.* Outputs smaller than the target lie in tiers of sizes, each ``fan`` times the one before. Only a tier that
+   holds ``ripe`` outputs or more is taken in again, so files grow level by level from call to call and a record is written
+   about once a level, not once a call. Outputs that hold a record which comes again are taken in as well, so that its
+   copies are counted over all calls.
+3. *Plan*, on the listing alone. The tiny files of a group form a unit; so do the records that a group has in an output
+   taken in again. Units are sorted by the tier of their size, then by name, and cut into outputs of ``target`` bytes by
+   their running total, so that units of similar size meet. Which file a record ends up in follows from this plan.
+4. *Journal, prepared.* Every output with its inputs, level (tier), rows and bytes. It names no file that won't exist.
+5. *Data.* Repeated records become one row with its number of copies, combined before they are moved; one more shuffle
+   brings the records of an output to one task, which writes one file. Names depend on the inputs only, so a repeat after a
+   crash replaces what was left.
+6. *Journal, committed.* Readers see only outputs of committed transactions which no later one took in. ``vacuum`` deletes
+   the others.
+
+A group larger than ``BLOCK`` record numbers is cut into units by blocks of them, so that no group is bound to one task.
 """
 
 from __future__ import annotations
@@ -22,34 +26,35 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipstrata.operators.ranges import running
 from clipstrata.session import cut
 
 #: Record numbers of a group that stay together.
 BLOCK = 1 << 20
 #: Bytes that a file counts at least, which bounds the files of an output.
 LEAST = 256
+#: Groups whose places are broadcast; beyond it they are joined by a shuffle.
+PLACES = 200_000
 
 JOURNAL = "txn string, level int, output string, inputs array<string>, n_inputs long, n_rows long, n_bytes long"
 
 
 @dataclass(frozen=True)
 class Tiers:
-    """Sizes in bytes of the source files. ``base``: the largest size of tier 0; ``fan``: the factor between tiers."""
+    """Sizes in bytes of the source files. ``base``: the largest size of tier 0; ``fan``: the factor between tiers;
+    ``ripe``: the outputs that make a tier worth merging."""
 
     base: int = 1 << 10
     fan: int = 16
     target: int = 128 << 20
+    ripe: int = 4
 
-    @property
-    def levels(self) -> int:
-        n, size = 1, self.base
-        while size < self.target:
-            n, size = n + 1, size * self.fan
-        return n
+    def of(self, size: Column) -> Column:
+        """The tier of a size."""
+        return F.greatest(F.ceil(F.log(float(self.fan), F.greatest(size, F.lit(1)) / F.lit(self.base))), F.lit(0)).cast("int")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -57,26 +62,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    return fs.exists(p)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def _committed(spark: SparkSession, root: str) -> list[str]:
     """Names of the committed transactions (one for each call of ``compact`` that found something new)."""
-    fs, p = _fs(spark, f"{root}/journal")
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(n for n in names if _exists(spark, f"{root}/journal/{n}/committed/_SUCCESS"))
+    fs, p = _fs(spark, f"{root}/journal/*/committed/_SUCCESS")
+    found = fs.globStatus(p)
+    return sorted(s.getPath().getParent().getParent().getName() for s in found) if found is not None else []
+
+
+def _claim(spark: SparkSession, root: str, txn: str) -> None:
+    """Takes the number of a transaction for its inputs; a repeat may, another writer with other inputs may not."""
+    fs, p = _fs(spark, f"{root}/claims/{txn[:9]}-{txn[10:]}")
+    fs.mkdirs(p.getParent())
+    fs.createNewFile(p)
+    mine = [n for n in _children(spark, f"{root}/claims") if n.startswith(txn[:9])]
+    if mine[0] != p.getName():  # of several that write at once the first by name goes on
+        fs.delete(p, False)
+        raise RuntimeError(f"{txn[:9]} is being written by another call; call again when it is done")
 
 
 def journal(spark: SparkSession, root: str) -> DataFrame:
-    """All merges of the committed transactions."""
-    paths = [f"{root}/journal/{t}/merges" for t in _committed(spark, root)]
+    """All merges of the committed transactions. Empty files are taken in by rows without an output."""
+    paths = [f"{root}/journal/{t}/{part}" for t in _committed(spark, root) for part in ("merges", "others") if part in _children(spark, f"{root}/journal/{t}")]
     return spark.read.schema(JOURNAL).parquet(*paths) if paths else spark.createDataFrame([], JOURNAL)
 
 
+def _dead(spark: SparkSession, root: str) -> DataFrame:
+    """(out): outputs that a later transaction took in."""
+    return journal(spark, root).select(F.explode("inputs").alias("out")).filter(F.col("out").startswith("txn-")).distinct()
+
+
 def tidy_listing(listing: DataFrame, path: str, group: str, rows: str, size: str) -> DataFrame:
     """One line for each path. Unknown sizes follow from the rows at the mean bytes a row, or are the mean size.
 
@@ -96,52 +115,41 @@ def tidy_listing(listing: DataFrame, path: str, group: str, rows: str, size: str
     )
 
 
-def _tiered(tiers: Tiers, txn: str):
-    """The merges within one output, from its files. The files of an output are bounded by its size."""
-
-    def plan(key, files: pd.DataFrame) -> pd.DataFrame:
-        out = key[0]
-        nodes = sorted(zip(files["seg"], files["path"], files["n_rows"], files["n_bytes"]))
-        done, cap = [], tiers.base
-        for level in range(tiers.levels):
-            small = [n for n in nodes if n[3] <= cap or level == tiers.levels - 1]
-            if len(small) > 1 or level == tiers.levels - 1:
-                rest, step, room = [n for n in nodes if not (n[3] <= cap or level == tiers.levels - 1)], [], cap * tiers.fan
-                run: list = []
-                for n in [*small, None]:
-                    if n is None or (run and level < tiers.levels - 1 and sum_bytes + n[3] > room):
-                        if len(run) > 1 or (run and level == tiers.levels - 1):
-                            name = out if level == tiers.levels - 1 else f"{out}.{level}.{len(step)}"
-                            rows, size = sum(r[2] for r in run), sum(r[3] for r in run)
-                            done.append((txn, level, name, [r[1] for r in run], len(run), rows, size))
-                            step.append((run[0][0] if run else "", name, rows, size))
-                        else:
-                            step += run
-                        run = []
-                    if n is not None:
-                        sum_bytes = (0 if not run else sum_bytes) + n[3]
-                        run.append(n)
-                nodes = sorted(rest + step)
-            cap *= tiers.fan
-        return pd.DataFrame(done, columns=["txn", "level", "output", "inputs", "n_inputs", "n_rows", "n_bytes"])
-
-    return plan
-
-
 def read(spark: SparkSession, root: str) -> DataFrame | None:
-    """The records of all live outputs with ``out``, the file they are in; None before the first transaction."""
+    """The records of all live outputs with ``out``, the file they are in; None before the first transaction.
+
+    Where transactions have dead outputs, their names prune the scan (up to 10,000 of them) or are joined away; after
+    ``vacuum`` there are none.
+    """
     done = _committed(spark, root)
     if not done:
         return None
     data = None
+    gone = _dead(spark, root) if len(done) > 1 else None
+    names = [r.out for r in gone.limit(10_001).collect()] if gone is not None else []
     for t in done:
+        if not any(n.startswith("out=") for n in _children(spark, f"{root}/data/{t}")):
+            continue  # all of it was taken in and deleted, or only empty files were
         one = spark.read.parquet(f"{root}/data/{t}")
+        dead = [n.split("/")[1] for n in names if n.startswith(t)]
+        if dead and len(names) <= 10_000:
+            one = one.filter(~F.col("out").isin(dead))
         one = one.withColumn("out", F.concat(F.lit(t + "/"), F.col("out").cast("string")))
         data = one if data is None else data.unionByName(one)
-    if len(done) == 1:
-        return data
-    gone = journal(spark, root).select(F.explode("inputs").alias("out")).filter(F.col("out").startswith("txn-"))
-    return data.join(gone, "out", "left_anti")
+    return data if len(names) <= 10_000 or data is None else data.join(gone, "out", "left_anti")
+
+
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Deletes the outputs that later transactions took in, and what broken runs left; how many folders went. Not to be
+    called while a reader still uses an older state."""
+    done, n = set(_committed(spark, root)), 0
+    dead = {r.out for r in _dead(spark, root).collect()}  # one name for each output ever merged again
+    for t in _children(spark, f"{root}/data"):
+        for name in _children(spark, f"{root}/data/{t}"):
+            if name.startswith("out=") and (t not in done or f"{t}/{name[4:]}" in dead):
+                fs, p = _fs(spark, f"{root}/data/{t}/{name}")
+                n += bool(fs.delete(p, True))
+    return n
 
 
 def compact(
@@ -164,72 +172,94 @@ def compact(
 
     A record is (*key, number) and holds ``value``; ``group_of`` gives, from its columns, the group its file has in the
     listing. Of repeated records the least value is kept (null only if all are) and ``copies`` counts the rows. Nulls in
-    ``key``, ``number`` or ``value`` are values like others. Records whose file nobody listed are taken in with the
-    others. Other columns are ignored, whatever their names. The journal names a file of a split group at one of its parts;
-    its records may lie in the others as well.
+    ``key``, ``number`` or ``value`` are values like others. Records whose group nobody listed go to outputs of their own
+    without inputs. Other columns are ignored, whatever their names. A file of a group that is cut by blocks is an input of
+    each output that holds one of them. Records of a listed path must not change afterwards.
     """
     spark, tiers = records.sparkSession, tiers or Tiers()
     names = [f"_k{i}" for i in range(len(key))]
     earlier = _committed(spark, root)
     files = tidy_listing(listing, path, group, rows, size)
     group_of = F.concat_ws("/", *key) if group_of is None else group_of
-    recs = records.select(
-        *[F.col(c).alias(n) for c, n in zip(key, names)], group_of.alias("_g"), F.col(number).alias("_n"), F.col(value).alias("_v"), F.col(source).alias("_f")
-    )
+    back = {c: F.col(n).alias(c) for c, n in zip(key, names)}
+    group_again = lambda df: df.select("*", *back.values()).withColumn("_g", group_of).drop(*key)
+    recs = records.select(*[F.col(c).alias(n) for c, n in zip(key, names)], F.col(number).alias("_n"), F.col(value).alias("_v"), F.col(source).alias("_f"))
     block = F.coalesce(F.expr(f"_n div {BLOCK}"), F.lit(0)).cast("long")
-    recs = recs.withColumn("_b", block).withColumn("_c", F.lit(1).cast("long"))
+    recs = recs.withColumn("_c", F.lit(1).cast("long"))
     if earlier:
         log = journal(spark, root)
         taken = log.select(F.explode("inputs").alias("path")).distinct()
         files = files.join(taken, "path", "left_anti")
         recs = recs.join(taken.withColumnRenamed("path", "_f"), "_f", "left_anti")
-    mark = files.agg(F.count("*").alias("n"), F.sum(F.xxhash64("path", "n_bytes").cast("decimal(38,0)")).alias("h"), F.sum(F.greatest("n_bytes", F.lit(LEAST))).alias("b"), F.sum("n_rows").alias("r"), F.count_if((F.col("n_rows") == 0) & (F.col("n_bytes") <= 0)).alias("e")).first()
+    files = cut(files)
+    weight = F.greatest("n_bytes", F.lit(LEAST))
+    mark = files.agg(F.count("*").alias("n"), F.sum(F.xxhash64("path", "n_bytes").cast("decimal(38,0)")).alias("h"), F.count_if((F.col("n_rows") == 0) & (F.col("n_bytes") <= 0)).alias("e")).first()
     if not mark["n"]:
         return None
     digest = hashlib.sha256(repr((mark["n"], str(mark["h"]), tiers)).encode()).hexdigest()[:16]
-    txn, total = f"txn-{len(earlier):05d}-{digest}", int(mark["b"] or 0)
-    # groups with more records than a block, of which there are at most as many as the listing has blocks of records
-    large = files.groupBy("seg").agg(F.ceil(F.sum("n_rows") / F.lit(BLOCK)).cast("long").alias("_m")).filter("_m > 1")
-    if mark["r"] // BLOCK <= 10_000:  # at most 10,000 such groups
-        large = F.broadcast(large)
-    plan = files.filter("n_rows > 0 OR n_bytes > 0").join(large, "seg", "left")
-    part = F.when(F.col("_m") > 1, F.pmod(F.xxhash64("path"), F.col("_m"))).otherwise(0).cast("long")
-    plan = plan.select("path", F.col("seg").alias("_g"), part.alias("_b"), "n_rows", "n_bytes")
-    if earlier:  # outputs that stayed small, or hold a record that comes again, come in again with the records they hold
-        last = log.filter(F.col("level") == tiers.levels - 1).select(F.concat("txn", F.lit("/"), "output").alias("out"), F.col("n_bytes").alias("_size"))
-        live = read(spark, root)
-        flat = live.select(
-            *[F.col(c).alias(n) for c, n in zip(key, names)], F.col("_group").alias("_g"), F.col(number).alias("_n"), F.col(value).alias("_v"), F.col("out").alias("_f"), F.col("copies").alias("_c")
-        ).withColumn("_b", block)
+    txn = f"txn-{len(earlier):05d}-{digest}"
+    _claim(spark, root, txn)
+    # units: the new files of a group, or of one of its blocks
+    full = files.filter("n_rows > 0 OR n_bytes > 0")
+    new = full.groupBy(F.col("seg").alias("_g")).agg(F.sum("n_rows").alias("n_rows"), F.sum(weight).alias("n_bytes"))
+    parts = F.greatest(F.ceil(F.col("n_rows") / F.lit(BLOCK)), F.lit(1)).cast("long")
+    new = new.withColumn("_m", parts).select("_g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1)).alias("_b"), "_m", "n_rows", "n_bytes")
+    units = new.select("_g", "_b", F.expr("n_rows div _m").alias("n_rows"), F.expr("n_bytes div _m").alias("n_bytes"))
+    inputs = full.select(F.col("seg").alias("_g"), "path")
+    live = read(spark, root) if earlier else None
+    if live is not None:
+        made = log.filter("output IS NOT NULL").select(F.concat("txn", F.lit("/"), "output").alias("out"), F.col("n_bytes").alias("_size"))
+        small = made.join(taken.withColumnRenamed("path", "out"), "out", "left_anti").withColumn("_tier", tiers.of(F.col("_size")))
+        ripe = small.filter(F.col("_size") < tiers.target // 2).groupBy("_tier").agg(F.count("*").alias("_many")).filter(F.col("_many") >= tiers.ripe - 1)
+        flat = live.select(*[F.col(c).alias(n) for c, n in zip(key, names)], F.col(number).alias("_n"), F.col(value).alias("_v"), F.col("out").alias("_f"), F.col("copies").alias("_c"))
         same = F.expr(" AND ".join(f"l.{n} <=> r.{n}" for n in [*names, "_n"]))
-        again = flat.alias("l").join(recs.alias("r"), same, "left_semi").select(F.col("_f").alias("out"), F.lit(True).alias("_again")).distinct()
-        small = last.join(taken.withColumnRenamed("path", "out"), "out", "left_anti").join(again, "out", "left")
-        small = cut(small.filter((F.col("_size") < tiers.target // 2) | F.coalesce("_again", F.lit(False))).drop("_again"))
-        old = flat.join(small.select(F.col("out").alias("_f")), "_f", "left_semi")
-        recs = recs.unionByName(old)
-        share = old.groupBy("_f", "_g", "_b").agg(F.count("*").alias("n_rows")).join(small.withColumnRenamed("out", "_f"), "_f")
-        share = share.withColumn("_all", F.sum("n_rows").over(Window.partitionBy("_f")))
-        plan = plan.unionByName(share.select(F.col("_f").alias("path"), "_g", "_b", "n_rows", F.ceil(F.col("_size") * F.col("n_rows") / F.col("_all")).alias("n_bytes")))
-        total += int(small.agg(F.sum("_size")).first()[0] or 0)
-    buckets = max(1, -(-total // tiers.target))
-    out = F.format_string("f%05d", F.pmod(F.hash("_g", "_b"), F.lit(buckets)))
-    # copies are combined before they move: a record that a third of all rows repeat is one row a task by then
-    recs = recs.groupBy("_g", "_b", *names, "_n").agg(F.min("_v").alias("_v"), F.sum("_c").alias("_c"))
-    merges = plan.withColumn("out", out).groupBy("out", "path").agg(F.min("_g").alias("seg"), F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
-    merges = merges.groupBy("out").applyInPandas(_tiered(tiers, txn), JOURNAL)
+        again = flat.alias("l").join(recs.alias("r"), same, "left_semi").select(F.col("_f").alias("out")).distinct()
+        grown = small.filter(F.col("_size") < tiers.target // 2).join(ripe, "_tier", "left_semi").select("out")
+        old = cut(small.join(grown.unionByName(again).distinct(), "out", "left_semi"))
+        flat = flat.join(old.select(F.col("out").alias("_f")), "_f", "left_semi")
+        held = group_again(flat).groupBy("_f", "_g", block.alias("_b")).agg(F.count("*").alias("n_rows"))
+        whole = held.groupBy("_f").agg(F.sum("n_rows").alias("_all"))
+        held = cut(held.join(whole, "_f").join(old.select(F.col("out").alias("_f"), "_size"), "_f"))
+        # a group's records of all kinds go to one place
+        units = units.unionByName(held.select("_g", "_b", "n_rows", F.ceil(F.col("_size") * F.col("n_rows") / F.col("_all")).cast("long").alias("n_bytes")))
+        units = units.groupBy("_g", "_b").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
+        recs = recs.unionByName(flat)
+    # similar sizes meet: sorted by tier, cut where the running total passes the target
+    units = units.withColumn("_tier", tiers.of(F.col("n_bytes")))
+    total = running(units, ["_tier", "_g", "_b"], {"_upto": F.col("n_bytes")})
+    nth = F.expr(f"(_upto - greatest(n_bytes, 1)) div {tiers.target}")
+    plan = cut(total.select("_g", "_b", "n_rows", "n_bytes", nth.cast("int").alias("_o")))
+    shape = plan.agg(F.count("*").alias("n"), F.max("_o").alias("o")).first()
+    outputs = (shape["o"] if shape["o"] is not None else -1) + 1
+    named = F.format_string("f%05d", F.col("_o"))
+    sizes = plan.groupBy("_o").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"))
+    into = inputs.join(plan.select("_g", "_o").distinct(), "_g").select("_o", "path")
+    if live is not None:
+        into = into.unionByName(held.join(plan, ["_g", "_b"]).select("_o", F.col("_f").alias("path")).distinct())
+    lists = into.groupBy("_o").agg(F.array_sort(F.collect_list("path")).alias("inputs"), F.count("*").alias("n_inputs"))
+    merges = sizes.join(lists, "_o").select(F.lit(txn).alias("txn"), tiers.of(F.col("n_bytes")).alias("level"), named.alias("output"), "inputs", "n_inputs", "n_rows", "n_bytes")
     if mark["e"]:  # empty files hold nothing to write and are only taken in
         heaps = -(-mark["e"] // 10_000)
         empty = files.filter("n_rows = 0 AND n_bytes <= 0").groupBy(F.pmod(F.xxhash64("path"), F.lit(heaps)).alias("_h")).agg(F.collect_list("path").alias("inputs"), F.count("*").alias("n_inputs"))
         none = F.lit(0).cast("long")
-        empty = empty.select(F.lit(txn).alias("txn"), F.lit(-1).alias("level"), F.format_string("empty.%d", "_h").alias("output"), "inputs", "n_inputs", none.alias("n_rows"), none.alias("n_bytes"))
+        empty = empty.select(F.lit(txn).alias("txn"), F.lit(-1).alias("level"), F.lit(None).cast("string").alias("output"), "inputs", "n_inputs", none.alias("n_rows"), none.alias("n_bytes"))
         merges = merges.unionByName(empty)
     merges.write.mode("overwrite").parquet(f"{root}/journal/{txn}/merges")
-    data = recs.select(
-        *[F.col(n).alias(c) for n, c in zip(names, key)], F.col("_n").alias(number), F.col("_v").alias(value), F.col("_c").alias("copies"), F.col("_g").alias("_group"), out.alias("out")
-    )
-    # the hash partition a record falls into is its output, so one task writes each output, and groups stay together
-    data = data.repartition(buckets, "_group", F.coalesce(F.expr(f"{number} div {BLOCK}"), F.lit(0)).cast("long"))
-    data.sortWithinPartitions("out", "_group", number).write.mode("overwrite").partitionBy("out").parquet(f"{root}/data/{txn}")
+    # copies are combined before they move: a record that a third of all rows repeat is one row a task by then
+    recs = group_again(recs.groupBy(*names, "_n").agg(F.min("_v").alias("_v"), F.sum("_c").alias("_c"))).withColumn("_b", block)
+    places = plan.select("_g", "_b", "_o")
+    recs = recs.join(F.broadcast(places) if shape["n"] <= PLACES else places, ["_g", "_b"], "left")
+    strays = max(1, outputs)
+    recs = recs.withColumn("_o", F.coalesce("_o", outputs + F.pmod(F.hash("_g", "_b"), F.lit(strays))))
+    data = recs.select(*back.values(), F.col("_n").alias(number), F.col("_v").alias(value), F.col("_c").alias("copies"), F.col("_o"))
+    data = data.repartitionById(outputs + strays, "_o").withColumn("out", named).drop("_o")
+    data.sortWithinPartitions("out", *key, number).write.mode("overwrite").partitionBy("out").parquet(f"{root}/data/{txn}")
+    strange = [n[4:] for n in _children(spark, f"{root}/data/{txn}") if n.startswith("out=f") and int(n[5:]) >= outputs]
+    if strange:  # records of groups that nobody listed
+        held_there = spark.read.parquet(f"{root}/data/{txn}").filter(F.col("out").isin(strange)).groupBy("out").agg(F.count("*").alias("n_rows"))
+        none = F.array().cast("array<string>")
+        others = held_there.select(F.lit(txn).alias("txn"), F.lit(0).alias("level"), F.col("out").alias("output"), none.alias("inputs"), F.lit(0).cast("long").alias("n_inputs"), "n_rows", (F.col("n_rows") * LEAST).alias("n_bytes"))
+        others.write.mode("overwrite").parquet(f"{root}/journal/{txn}/others")
     spark.createDataFrame([(txn,)], "txn string").coalesce(1).write.mode("overwrite").json(f"{root}/journal/{txn}/committed")
     return txn
 

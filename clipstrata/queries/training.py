@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clipstrata.operators import compaction
 from clipstrata.operators.intervals import periods_and_gaps, to_units
 from clipstrata.queries import Registry
-from clipstrata.session import new_folder
+from clipstrata.session import cut, new_folder
 from clipstrata.sources.tables import clip_index, clip_scene, table
 
 REG = Registry()
@@ -95,7 +95,10 @@ def p4_found(spark: SparkSession, where: str) -> DataFrame:
     return twice.unionByName(lacking.withColumn("fault", F.lit("missing")))
 
 
-@REG.add("p4_records", "SELECT scene, idx, k, min(ordinal) AS ordinal, count(*) AS copies FROM windows GROUP BY ALL")
+RECORDS_SQL = "SELECT scene, idx, k, min(ordinal) AS ordinal, count(*) AS copies FROM windows GROUP BY ALL"
+
+
+@REG.add("p4_records", RECORDS_SQL)
 def p4_records(spark: SparkSession, where: str) -> DataFrame:
     """Every record once, as the compacted files hold it."""
     return compaction.read(spark, compacted(spark, where)).select("scene", "idx", "k", "ordinal", "copies")
@@ -105,6 +108,49 @@ def p4_records(spark: SparkSession, where: str) -> DataFrame:
 def p4_inputs(spark: SparkSession, where: str) -> DataFrame:
     """The tiny files that the journal says were taken in: all of the listing, each once."""
     log = compaction.journal(spark, compacted(spark, where))
-    taken = log.select(F.explode("inputs").alias("path"), F.col("output").alias("into"))
-    made = log.select(F.col("output").alias("path"))
-    return taken.join(made, "path", "left_anti").select("path")
+    return log.select(F.explode("inputs").alias("path")).distinct()
+
+
+def grown(spark: SparkSession, where: str) -> str:
+    """The folder after three transactions, each with the files of a third of the time that the listing spans; files
+    without a time, and records in files that nobody listed, come last."""
+    files, held = table(spark, where, "window_files"), table(spark, where, "windows")
+    span = files.agg(F.min("modified_at").alias("a"), F.max("modified_at").alias("b")).first()
+    group = F.concat_ws("_", F.regexp_replace("scene", "^seg_", "clip_"), "idx")
+    third = (span.b - span.a) / 3 if span.a is not None else None
+    call = F.lit(2) if third is None else F.when(F.col("modified_at") < span.a + third, 0).when(F.col("modified_at") < span.a + 2 * third, 1).otherwise(2)
+    calls = cut(files.groupBy("path").agg(F.min(call).alias("_call")))
+    root = new_folder(spark, "p4")
+    records = held.join(calls.withColumnRenamed("path", "src_file"), "src_file", "left").withColumn("_call", F.coalesce("_call", F.lit(2)))
+    for n in range(3):
+        now = files.join(calls.filter(F.col("_call") == n), "path", "left_semi")
+        compaction.compact(records.filter(F.col("_call") == n), now, root, group_of=group, tiers=compaction.Tiers(ripe=3))
+    return root
+
+
+@REG.add("p4_incremental", RECORDS_SQL)
+def p4_incremental(spark: SparkSession, where: str) -> DataFrame:
+    """Every record once with its copies, after three transactions and the removal of the outputs they took in."""
+    root = grown(spark, where)
+    compaction.vacuum(spark, root)
+    return compaction.read(spark, root).select("scene", "idx", "k", "ordinal", "copies")
+
+
+@REG.add(
+    "p4_journal",
+    """SELECT count(DISTINCT path) AS listed, count(DISTINCT path) AS taken, CAST(0 AS BIGINT) AS taken_twice, CAST(0 AS BIGINT) AS unnamed,
+(SELECT count(*) FROM (SELECT DISTINCT scene, idx, k FROM windows)) AS records FROM window_files""",
+)
+def p4_journal(spark: SparkSession, where: str) -> DataFrame:
+    """The journal of three transactions against the listing and the files: tiny files listed, taken in, and taken in by two
+    transactions; live outputs that the journal doesn't name; records in the live outputs."""
+    root = grown(spark, where)
+    log = compaction.journal(spark, root)
+    took = log.select("txn", F.explode("inputs").alias("path")).filter(~F.col("path").startswith("txn-")).distinct()
+    took = took.groupBy("path").agg(F.count("*").alias("n")).agg(F.count("*").alias("taken"), F.count_if(F.col("n") > 1).alias("taken_twice"))
+    held = compaction.read(spark, root)
+    named = log.filter("output IS NOT NULL").select(F.concat("txn", F.lit("/"), "output").alias("out"))
+    unnamed = held.select("out").distinct().join(named, "out", "left_anti").agg(F.count("*").alias("unnamed"))
+    listed = table(spark, where, "window_files").agg(F.count_distinct("path").alias("listed"))
+    one = listed.crossJoin(took).crossJoin(unnamed).crossJoin(held.agg(F.count("*").alias("records")))  # one row each
+    return one.select("listed", "taken", "taken_twice", "unnamed", "records")
