@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from clipstrata.llm.garble import garbled
 from clipstrata.llm.leaks import leaks
 from clipstrata.llm.mixing import mix
-from clipstrata.llm.ranking import Criterion, outranking
+from clipstrata.llm.ranking import Criterion, least_net, outranking
 from clipstrata.llm.splits import assign, components, sample_key
 from clipstrata.llm.tokens import DEFAULT, with_tokens
-from clipstrata.llm.topn import top_n
+from clipstrata.llm.topn import reads, top_n
 from clipstrata.queries import Registry
 from clipstrata.session import cut, finite, latest, stored
 from clipstrata.sources.tables import clip_scene, stated_scene, table
@@ -45,10 +45,27 @@ def ranked(spark: SparkSession, where: str) -> DataFrame:
     return outranking(compared(spark, where), "clip", scores)
 
 
-@REG.add("p2_ranking")
+def _flow_sql(i: int, score: str) -> str:
+    """All pairs of clips on one score; differences of places, counted in halves, are whole numbers."""
+    return f"""SELECT a.clip, sum(CASE WHEN a.r > b.r THEN greatest(0, least(a.r - b.r - q, p - q)) ELSE 0 END) - sum(CASE WHEN b.r > a.r THEN greatest(0, least(b.r - a.r - q, p - q)) ELSE 0 END) AS f{i}
+  FROM (SELECT clip, {score} AS r FROM place) a, (SELECT {score} AS r FROM place) b, n GROUP BY a.clip"""
+
+
+RANK_SQL = LATEST_SQL + """, place AS (
+  SELECT clip, 2 * rank() OVER (ORDER BY f) - 2 + count(*) OVER (PARTITION BY f) AS r0, 2 * rank() OVER (ORDER BY j) - 2 + count(*) OVER (PARTITION BY j) AS r1,
+    2 * rank() OVER (ORDER BY d DESC) - 2 + count(*) OVER (PARTITION BY d) AS r2 FROM cmp
+), m AS (SELECT count(*) AS n FROM place), n AS (SELECT n, CAST(floor(2 * n * 0.02) AS BIGINT) AS q, greatest(CAST(floor(2 * n * 0.02) AS BIGINT) + 1, CAST(floor(2 * n * 0.25) AS BIGINT)) AS p FROM m
+), """ + ", ".join(f"w{i} AS ({_flow_sql(i, f'r{i}')})" for i in range(3)) + """
+, net AS (SELECT clip, CAST(f0 AS DOUBLE) / ((p - q) * greatest(n - 1, 1)) AS a, CAST(f1 AS DOUBLE) / ((p - q) * greatest(n - 1, 1)) AS b, CAST(f2 AS DOUBLE) / ((p - q) * greatest(n - 1, 1)) AS c FROM w0 JOIN w1 USING (clip) JOIN w2 USING (clip), n
+), r AS (SELECT *, round(a / 3 + b / 3 + c / 3, 9) AS net FROM net)
+SELECT clip, row_number() OVER (ORDER BY net DESC, clip) AS place, net, round(a, 9) AS semantic_flicker_net, round(b, 9) AS depth_jitter_net, round(c, 9) AS depth_temporal_net FROM r"""
+
+
+@REG.add("p2_ranking", RANK_SQL)
 def p2_ranking(spark: SparkSession, where: str) -> DataFrame:
     """All compared clips, worst first (place 1)."""
-    return ranked(spark, where).select("clip", "place", "net", "semantic_flicker_net", "depth_jitter_net", "depth_temporal_net")
+    nets = [F.round(x, 9).alias(x) for x in ("net", "semantic_flicker_net", "depth_jitter_net", "depth_temporal_net")]
+    return ranked(spark, where).select("clip", "place", *nets)
 
 
 @REG.add(
@@ -58,9 +75,12 @@ def p2_ranking(spark: SparkSession, where: str) -> DataFrame:
 SELECT clip FROM w WHERE 10 * least(a, b, c) >= 9 * n""",
 )
 def p2_found(spark: SparkSession, where: str) -> DataFrame:
-    """Clips that are strictly worse than nine tenths of all on every score."""
+    """Clips near the worst end of the ranking, by net flow, that are strictly worse than nine tenths of all on every score.
+
+    The bound on the flow loses none of them; the exact check follows on what is left."""
     worse = F.least("semantic_flicker_worse_than", "depth_jitter_worse_than", "depth_temporal_worse_than")
-    return ranked(spark, where).filter(10 * worse >= 9 * F.col("compared")).select("clip")
+    worst = ranked(spark, where).filter(F.col("net") >= least_net(0.9))
+    return worst.filter(10 * worse >= 9 * F.col("compared")).select("clip")
 
 
 def scene_ties(spark: SparkSession, where: str) -> DataFrame:
@@ -139,8 +159,27 @@ def scene_scores(spark: SparkSession, where: str) -> DataFrame:
 SELECT scene, clip FROM named QUALIFY row_number() OVER (PARTITION BY scene ORDER BY f DESC, j DESC NULLS LAST, clip) <= 3""",
 )
 def p5_found(spark: SparkSession, where: str) -> DataFrame:
+    return top_n(*best_of_scenes(spark, where)).select("scene", "clip")
+
+
+def best_of_scenes(spark: SparkSession, where: str) -> tuple:
     jitter = F.coalesce(-F.when(~F.isnan("depth_jitter"), F.col("depth_jitter")), F.lit(float("nan")))  # NaN sorts last
-    return top_n(scene_scores(spark, where), "scene", "semantic_flicker", 3, [jitter, F.col("clip")], ["clip"]).select("scene", "clip")
+    return scene_scores(spark, where), "scene", "semantic_flicker", 3, [jitter, F.col("clip")], ["clip"]
+
+
+@REG.add("p5_reads")
+def p5_reads(spark: SparkSession, where: str) -> DataFrame:
+    """Row groups and rows that each wave read, and those that were skipped by their statistics."""
+    return reads(*best_of_scenes(spark, where))
+
+
+@REG.add(
+    "p5_skipped",
+    LATEST_SQL + " SELECT count(*) AS scored, true AS some_skipped FROM sc WHERE isfinite(semantic_flicker) OR abs(semantic_flicker) = 'infinity'::DOUBLE",
+)
+def p5_skipped(spark: SparkSession, where: str) -> DataFrame:
+    """All rows are accounted for, read or skipped, and some could be skipped."""
+    return reads(*best_of_scenes(spark, where)).agg(F.sum("n_rows").alias("scored"), F.bool_or(F.col("wave") == "skipped").alias("some_skipped"))
 
 
 def mixed(spark: SparkSession, where: str) -> tuple[DataFrame, DataFrame]:

@@ -9,9 +9,10 @@ No pair is formed. With C(x) the number and S(x) the sum of the places up to x,
 
     sum over j of P(R_i - R_j) x (p - q) = (p - q) C(R_i - p) + (R_i - q) (C(R_i - q) - C(R_i - p)) - (S(R_i - q) - S(R_i - p))
 
-so four look-ups in sorted prefix sums give both flows, exactly and in whole numbers. Places and sums come from a sort by
-range: each range counts by itself, and the totals of the ranges (one row each) are added as offsets. Equal values are
-counted to one row before they are shuffled, so ties cannot make a hot key.
+so four look-ups in sorted prefix sums give both flows, exactly and in whole numbers. All scores go through the same steps
+at once, as rows of (score, value). Places and sums come from a sort by range: each range counts by itself, and the totals
+of the ranges (one row each) are added as offsets. Equal values are counted to one row before they are shuffled, so ties
+cannot make a hot key.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipstrata.operators.ranges import running
 from clipstrata.session import stored
 
 
@@ -37,54 +39,47 @@ class Criterion:
 INDIFFERENT, PREFERRED = 0.02, 0.25
 
 
-def running(df: DataFrame, by: str, sums: dict[str, Column], first: list[Column] | None = None) -> DataFrame:
-    """Adds running totals over the whole table, in the order of ``by``, the row itself included.
+def places(values: DataFrame) -> DataFrame:
+    """(c, v, n, less, place) of each distinct value v of each score c."""
+    counts = values.groupBy("c", "v").agg(F.count("*").alias("n"))
+    ranked = running(counts, "v", {"upto": F.col("n")}, within=["c"])
+    return ranked.select("c", "v", "n", (F.col("upto") - F.col("n")).alias("less"), (2 * F.col("upto") - F.col("n")).alias("place"))
 
-    The table is sorted by range and stored; every range is totalled by one task, and the totals of the ranges before it,
-    one row for each range, are added. Rows with equal ``by`` must not exist or come in the order of ``first``.
-    """
-    order = [F.col(by), *(first or [])]
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    ranged = stored(ranged, "ranges")
-    own = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = ranged.groupBy("_p").agg(*[F.sum(x).alias(f"_t_{n}") for n, x in sums.items()])
-    ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
-    offset = total.select("_p", *[F.coalesce(F.sum(f"_t_{n}").over(ahead), F.lit(0)).cast("long").alias(f"_o_{n}") for n in sums])
-    summed = ranged.select("*", *[F.sum(x).over(own).alias(f"_r_{n}") for n, x in sums.items()])
-    summed = summed.join(offset, "_p")
-    return summed.select(*df.columns, *[(F.col(f"_r_{n}") + F.col(f"_o_{n}")).cast("long").alias(n) for n in sums])
-
-
-def places(values: DataFrame, value: str) -> DataFrame:
-    """(value, n, less, place) of each distinct value."""
-    counts = values.groupBy(value).agg(F.count("*").alias("n"))
-    ranked = running(counts, value, {"upto": F.col("n")})
-    return ranked.select(value, "n", (F.col("upto") - F.col("n")).alias("less"), (2 * F.col("upto") - F.col("n")).alias("place"))
-
-
-def _flows(rank: DataFrame, value: str, n: int, q: int, p: int) -> DataFrame:
-    """(value, plus, minus): the flows of each distinct value, times (p - q)."""
+
+def _flows(rank: DataFrame, n: int, q: int, p: int) -> DataFrame:
+    """(c, v, less, ties, plus, minus): the flows of each distinct value, times (p - q)."""
     # each value asks for the prefix sums at four places; data and questions are sorted together, data first on a tie
-    ask = F.array(*[F.struct(F.lit(i).alias("i"), x.alias("x")) for i, x in enumerate((F.col("place") - p, F.col("place") - q, F.col("place") + q, F.col("place") + p))])
-    asks = rank.select(F.col("place").alias("_me"), F.explode(ask).alias("_a")).select("_me", F.col("_a.i").alias("_i"), F.col("_a.x").alias("_x"), F.lit(0).cast("long").alias("_n"))
-    data = rank.select(F.lit(None).cast("long").alias("_me"), F.lit(-1).alias("_i"), F.col("place").alias("_x"), F.col("n").alias("_n"))
-    both = running(data.unionByName(asks), "_x", {"c": F.col("_n"), "s": F.col("_n") * F.col("_x")}, [F.col("_i"), F.col("_me")])
-    got = both.filter(F.col("_me").isNotNull()).groupBy("_me")
-    at = lambda k, i: F.max(F.when(F.col("_i") == i, F.col(k)))
-    cols = [at(k, i).alias(f"{k}{i}") for k in ("c", "s") for i in range(4)]
-    got = got.agg(*cols)
-    r, d = F.col("place"), F.lit(p - q)
-    plus = d * F.col("c0") + (r - q) * (F.col("c1") - F.col("c0")) - (F.col("s1") - F.col("s0"))
-    minus = d * (F.lit(n) - F.col("c3")) + (F.col("s3") - F.col("s2")) - (r + q) * (F.col("c3") - F.col("c2"))
-    return rank.join(got, rank["place"] == got["_me"]).select(value, "less", F.col("n").alias("ties"), plus.alias("plus"), minus.alias("minus"))
-
-
-def _joined(base: DataFrame, flow: DataFrame, value: str, n: int, heavy: int = 1000) -> DataFrame:
-    """Every item with the flows of its value. Values that more than one in ``heavy`` items have, of which there are fewer
-    than ``heavy``, are broadcast; the others are joined by a shuffle, in which no value is hot."""
-    hot = F.broadcast(flow.filter(F.col("ties") * heavy > n).drop("ties"))
-    cold = flow.filter(F.col("ties") * heavy <= n).drop("ties")
-    return base.join(hot, value).unionByName(base.join(hot.select(value), value, "left_anti").join(cold, value))
+    own = F.struct(F.lit(-1).alias("i"), F.col("place").alias("x"), F.col("n").alias("n"))
+    ask = [F.struct(F.lit(i).alias("i"), x.alias("x"), F.lit(0).cast("long").alias("n")) for i, x in enumerate((F.col("place") - p, F.col("place") - q, F.col("place") + q, F.col("place") + p))]
+    both = rank.select("c", F.col("place").alias("_me"), "v", "less", F.col("n").alias("ties"), F.explode(F.array(own, *ask)).alias("_a"))
+    both = both.select("c", "_me", "v", "less", "ties", F.col("_a.i").alias("_i"), F.col("_a.x").alias("_x"), F.col("_a.n").alias("_n"))
+    both = running(both, "_x", {"k": F.col("_n"), "s": F.col("_n") * F.col("_x")}, [F.col("_i"), F.col("_me")], within=["c"])
+    at = lambda k, i: F.max(F.when(F.col("_i") == i, F.col(k))).alias(f"{k}{i}")
+    got = both.groupBy("c", "_me").agg(F.max("v").alias("v"), F.max("less").alias("less"), F.max("ties").alias("ties"), *[at(k, i) for k in ("k", "s") for i in range(4)])
+    r, d = F.col("_me"), F.lit(p - q)
+    plus = d * F.col("k0") + (r - q) * (F.col("k1") - F.col("k0")) - (F.col("s1") - F.col("s0"))
+    minus = d * (F.lit(n) - F.col("k3")) + (F.col("s3") - F.col("s2")) - (r + q) * (F.col("k3") - F.col("k2"))
+    return got.select("c", "v", "less", "ties", (plus - minus).alias("flow"))
+
+
+def _joined(values: DataFrame, flow: DataFrame, n: int, heavy: int = 1000) -> DataFrame:
+    """Every (item, score) with the flow of its value. Values that more than one in ``heavy`` items have, of which there are
+    fewer than ``heavy`` a score, are broadcast; the others are joined by a shuffle, in which no value is hot."""
+    hot = F.broadcast(flow.filter(F.col("ties") * heavy > n).select("c", "v", F.struct("less", "flow").alias("_hot")))
+    cold = flow.filter(F.col("ties") * heavy <= n).select("c", "v", "less", "flow")
+    some = values.join(hot, ["c", "v"], "left")
+    done = some.filter("_hot IS NOT NULL").select("_id", "_k", "c", "v", "_hot.less", "_hot.flow")
+    return done.unionByName(some.filter("_hot IS NULL").drop("_hot").join(cold, ["c", "v"]))
+
+
+def least_net(share: float, preferred: float = PREFERRED) -> float:
+    """A bound that the net of an item can't be below if on every score it is strictly worse than ``share`` of all items.
+
+    Items that it is preferred to without reserve count 1 each. An item that is worse but not by so much stands, with those
+    equal to it, within ``preferred`` of the places on either side of the middle of its ties, so there are at most
+    2 x ``preferred`` of all items of this kind. At most 1 - ``share`` are preferred to it.
+    """
+    return share - 2 * preferred - (1 - share)
 
 
 def outranking(
@@ -101,20 +96,24 @@ def outranking(
     for c in criteria:
         x = F.col(c.column).cast("double")
         ok = ok & F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))
-    base = items.filter(ok).select(F.col(key).alias("_k"), *[(F.col(c.column) if c.worse == "high" else -F.col(c.column)).cast("double").alias(f"_v{i}") for i, c in enumerate(criteria)])
-    base = stored(base, "items")
+    value = [((F.col(c.column) if c.worse == "high" else -F.col(c.column)).cast("double") + F.lit(0.0)) for c in criteria]
+    base = items.filter(ok).select(F.col(key).alias("_k"), *[v.alias(f"_v{i}") for i, v in enumerate(value)])
+    base = stored(base.withColumn("_id", F.monotonically_increasing_id()), "items")
     n = base.count()
     q = int(2 * n * indifferent)
     p = max(q + 1, int(2 * n * preferred))
-    whole = sum(c.weight for c in criteria)
-    net = F.lit(0.0)
+    scores = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"_v{i}").alias("v")) for i in range(len(criteria))])
+    values = base.select("_id", "_k", F.explode(scores).alias("_s")).select("_id", "_k", "_s.c", "_s.v")
+    flow = stored(_flows(places(values), n, q, p), "flow")
+    of = lambda i, x: F.max(F.when(F.col("c") == i, F.col(x)))
+    own = []
     for i, c in enumerate(criteria):
-        flow = _flows(places(base, f"_v{i}"), f"_v{i}", n, q, p)
-        mine = ((F.col("plus") - F.col("minus")) / F.lit(float(p - q) * max(n - 1, 1))).alias(f"{c.column}_net")
-        flow = stored(flow.select(f"_v{i}", "ties", F.col("less").alias(f"{c.column}_worse_than"), mine), "flow")
-        base = stored(_joined(base, flow, f"_v{i}", n), "items")
-        net = net + F.lit(c.weight / whole) * F.col(f"{c.column}_net")
-    scores = [x for i, c in enumerate(criteria) for x in ((F.col(f"_v{i}") if c.worse == "high" else -F.col(f"_v{i}")).alias(c.column), F.col(f"{c.column}_worse_than"), F.col(f"{c.column}_net"))]
-    out = base.select(F.col("_k").alias(key), F.round(net, 12).alias("net"), F.lit(n).alias("compared"), *scores)
+        sign = F.lit(1.0 if c.worse == "high" else -1.0)
+        own += [(of(i, "v") * sign).alias(c.column), of(i, "less").alias(f"{c.column}_worse_than"), (of(i, "flow") / F.lit(float(p - q) * max(n - 1, 1))).alias(f"{c.column}_net")]
+    out = _joined(values, flow, n).groupBy("_id").agg(F.first("_k").alias("_k"), *own)
+    whole = sum(c.weight for c in criteria)
+    net = sum((F.lit(c.weight / whole) * F.col(f"{c.column}_net") for c in criteria), F.lit(0.0))
+    rest = [x for c in criteria for x in (c.column, f"{c.column}_worse_than", f"{c.column}_net")]
+    out = out.select(F.col("_k").alias(key), F.round(net, 12).alias("net"), F.lit(n).alias("compared"), *rest)
     ranked = running(out.withColumn("_down", -F.col("net")), "_down", {"place": F.lit(1).cast("long")}, [F.col(key)])
     return ranked.drop("_down")

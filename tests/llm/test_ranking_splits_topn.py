@@ -4,7 +4,7 @@ import random
 import pytest
 
 from clipstrata.llm import splits
-from clipstrata.llm.ranking import Criterion, outranking
+from clipstrata.llm.ranking import Criterion, least_net, outranking
 from clipstrata.llm.splits import assign, components, sample_key
 from clipstrata.llm.topn import top_n
 from pyspark.sql import functions as F
@@ -41,6 +41,17 @@ def test_flows_equal_all_pairs(spark, n, q, p):
         assert abs(sum(r.net for r in order)) < 1e-9
 
 
+def test_bound_on_the_net_of_the_worst(spark):
+    """Whatever the ties, an item that is worse than a share of all on every score has at least this net."""
+    rnd = random.Random(3)
+    for _ in range(6):
+        kinds = rnd.choice([2, 5, 30, 1000])
+        rows = [(f"c{i:03d}", float(rnd.randint(0, kinds)), float(rnd.randint(0, kinds))) for i in range(90)] + [(f"d{i}", kinds + rnd.random(), kinds + rnd.random()) for i in range(9)]
+        got = outranking(spark.createDataFrame(rows, "clip string, a double, b double"), "clip", [Criterion("a"), Criterion("b")]).collect()
+        worst = [r for r in got if 10 * min(r.a_worse_than, r.b_worse_than) >= 9 * r.compared]
+        assert worst and all(r.net >= least_net(0.9) for r in worst)
+
+
 def test_no_items(spark):
     assert outranking(spark.createDataFrame([], "clip string, a double"), "clip", [Criterion("a")]).count() == 0
 
@@ -109,13 +120,13 @@ def test_sample_ids(spark):
     assert [r[0] for r in df.select(sample_key(F.col("s"))).collect()] == ["abw_001"] * 3 + [None] * 6 + ["abw_002"]
 
 
-@pytest.mark.parametrize(("n", "row_group"), [(3, 4 << 10), (1, 64), (0, 64), (50, 1 << 20)])
-def test_top_n(spark, n, row_group):
+@pytest.mark.parametrize(("n", "size"), [(3, 60), (1, 16), (0, 16), (50, None), (50, 7)])
+def test_top_n(spark, n, size):
     rnd = random.Random(n)
     rows = [(rnd.choice(["hot"] * 6 + ["a", "b", "c", None]), f"c{i}", rnd.choice([0.5, rnd.random(), None, float("nan"), float("inf")]), rnd.choice([None, 1.0, 2.0]), 7) for i in range(4000)]
     df = spark.createDataFrame(rows + rows[:3], "scene string, clip string, f double, j double, rank int").repartition(8)
     tie = F.coalesce(-F.col("j"), F.lit(float("inf")))
-    got = sorted((r.scene, r.clip, r.rank) for r in top_n(df, "scene", "f", n, [tie, F.col("clip")], ["clip"], row_group=row_group).collect())
+    got = sorted((r.scene, r.clip, r.rank) for r in top_n(df, "scene", "f", n, [tie, F.col("clip")], ["clip"], rows=size).collect())
     want, by = [], {}
     for s, c, f, j, _ in rows + rows[:3]:
         if s is not None and f is not None and not math.isnan(f):
@@ -126,23 +137,28 @@ def test_top_n(spark, n, row_group):
 
 
 def test_top_n_skips(spark, monkeypatch):
-    """Row groups of a large group below its N-th score aren't read."""
+    """Row groups below every contained group's N-th score aren't read; those that tie with it are."""
     from clipstrata.llm import topn
 
+    df = spark.range(60000).select(F.lit("hot").alias("g"), F.rand(1).alias("s"), F.col("id").cast("string").alias("c"))
+    df = df.unionByName(spark.createDataFrame([(f"g{i:03d}", float(k), f"{i}.{k}") for i in range(300) for k in range(4)], "g string, s double, c string"))
+    args = (df, "g", "s", 5, [F.col("c")], ["c"])
     asked = []
-    real = topn.stored
 
-    def seen(df, name):
-        out = real(df, name)
-        if name == "footers":
-            asked.append(out.filter("first = last").count())
-        return out
+    def seen(df, name, real=topn.stored):
+        if name == "wave":
+            asked.append(1)
+        return real(df, name)
 
     monkeypatch.setattr(topn, "stored", seen)
-    df = spark.range(60000).select(F.lit("hot").alias("g"), F.rand(1).alias("s"), F.col("id").cast("string").alias("c"))
-    got = top_n(df, "g", "s", 5, [F.col("c")], ["c"], row_group=4 << 10)
-    plan = got.collect()
-    assert asked[0] > 20 and len(plan) == 5
+    n = {r.wave: (r.row_groups, r.n_rows) for r in topn.reads(*args, rows=500).collect()}
+    assert asked and n["skipped"][0] > 100 and n["first"][0] + n.get("second", (0, 0))[0] < 12
+    assert sum(x for _, x in n.values()) == 60000 + 1200
+    got = top_n(*args, rows=500).filter("g = 'hot'").collect()
+    want = [r.c for r in df.filter("g = 'hot'").orderBy(F.col("s").desc(), "c").limit(5).collect()]
+    assert [r.c for r in sorted(got, key=lambda r: r.rank)] == want
+    tied = spark.range(4000).select(F.lit("hot").alias("g"), F.lit(1.0).alias("s"), F.col("id").cast("string").alias("c"))
+    assert not topn.reads(tied, "g", "s", 3, [F.col("c")], ["c"], rows=100).filter("wave = 'skipped'").count()
 
 
 def test_no_rows(spark):
