@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset (tests), a new temporary one."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset (tests), a new temporary one;
+    on a cluster that is an error, as the hosts don't share it."""
     sc = spark.sparkContext
     here = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not here:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         here = "file://" + tempfile.mkdtemp(prefix="clipstrata-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(here)
@@ -56,6 +59,14 @@ def latest(df: DataFrame, keys: list[str], by: str, keep: list[str]) -> DataFram
     return full.groupBy(*keys).agg(best).select(*keys, *[F.col("_best")[c].alias(c) for c in keep])
 
 
+def looked_up(rows: DataFrame, table: DataFrame, on: str, spread_by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to a table that has each ``on`` once. A value that many rows have is spread over the tasks by
+    ``spread_by``, a column of ``rows``; each row of the table is sent to all of them."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt"))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int")).join(many, [on, "_salt"], how).drop("_salt")
+
+
 def finite(x: Column) -> Column:
     """True for a number, false for null, NaN and the infinities."""
     return F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))
