@@ -95,7 +95,7 @@ def clean_source(source: str) -> Column:
 
 
 def sizes(docs: DataFrame, targets: DataFrame, *, source: str, tokens: str, share: str, repeats: str) -> DataFrame:
-    """(source, share, repeats, size, total, budget, full, rest, short) of each source of ``targets``."""
+    """(source, share, repeats, size, total, budget, full, rest) of each source of ``targets``."""
     have = docs.groupBy(clean_source(source).alias("_source")).agg(F.sum(tokens).alias("_size"))
     want = targets.select(clean_source(source).alias("_source"), F.coalesce(F.col(share), F.lit(0.0)).alias("_share"), F.greatest(F.coalesce(F.col(repeats), F.lit(0)), F.lit(0)).cast("long").alias("_repeats"))
     want = want.filter(F.col("_source").isNotNull()).groupBy("_source").agg(F.sum("_share").alias("_share"), F.max("_repeats").alias("_repeats"))
@@ -103,11 +103,10 @@ def sizes(docs: DataFrame, targets: DataFrame, *, source: str, tokens: str, shar
     total = both.agg(F.sum("_size").alias("_total"))
     both = both.crossJoin(F.broadcast(total))  # one row
     both = both.withColumn("_budget", F.floor(F.col("_share") * F.col("_total")).cast("long"))
-    short = F.col("_size") * F.col("_repeats") < F.col("_share") * F.col("_total")
     full = F.when(F.col("_size") > 0, F.least(F.col("_repeats"), F.expr("_budget div nullif(_size, 0)"))).otherwise(F.lit(0)).cast("long")
     both = both.withColumn("_full", full)
     rest = F.when(F.col("_full") < F.col("_repeats"), F.col("_budget") - F.col("_full") * F.col("_size")).otherwise(F.lit(0)).cast("long")
-    return both.withColumn("_rest", rest).withColumn("_short", short)
+    return both.withColumn("_rest", rest)
 
 
 def mix(
@@ -140,6 +139,8 @@ def mix(
     out = chosen.select(F.col("_doc").alias(doc), F.col("_source").alias(source), F.col("_n").alias(tokens), times.alias("times")).filter("times > 0")
     picked = take.groupBy("_source").agg(F.sum(F.col("_n") * F.col("_take")).alias("_picked"))
     got = plan.join(picked, "_source", "left").withColumn("_got", F.col("_full") * F.col("_size") + F.coalesce("_picked", F.lit(0)))
+    # a source is short if the mix holds all its documents as often as it may and is still below the target
+    got = got.withColumn("_short", (F.col("_got") >= F.col("_size") * F.col("_repeats")) & (F.col("_got") < F.col("_share") * F.col("_total")))
     all_ = got.agg(F.sum("_got").alias("_all"))
     report = got.crossJoin(F.broadcast(all_)).select(
         F.col("_source").alias(source), F.col("_share").alias("target_share"), F.coalesce(F.try_divide("_got", "_all"), F.lit(0.0)).alias("actual_share"),

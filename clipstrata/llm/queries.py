@@ -13,7 +13,7 @@ from clipstrata.llm.splits import assign, components, sample_key
 from clipstrata.llm.tokens import DEFAULT, with_tokens
 from clipstrata.llm.topn import reads, top_n
 from clipstrata.queries import Registry
-from clipstrata.session import cut, finite, latest, stored
+from clipstrata.session import cut, finite, latest, looked_up, stored
 from clipstrata.sources.tables import clip_scene, stated_scene, table
 
 REG = Registry()
@@ -119,7 +119,34 @@ def p3_found(spark: SparkSession, where: str) -> DataFrame:
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
-@REG.add("p3_splits")
+# groups of one size take their splits in the order of their names, so the greedy rule's splits are put in order by size
+SPLITS_SQL = r"""
+WITH RECURSIVE ep AS (
+  SELECT regexp_replace(trim(lower(sample_id), ' ' || chr(9) || chr(10) || chr(160)), '[\s_\-]+', '_', 'g') AS s, scene FROM episodes WHERE trim(scene) NOT IN ('', '?')
+), tie AS (
+  SELECT x.scene AS a, y.scene AS b FROM ep x JOIN ep y USING (s) WHERE s NOT IN ('', '-', '_', 'n/a', 'unknown', 'none', 'null') AND x.scene <> y.scene
+  UNION SELECT 'seg_' || split_part(clip, '_', 2), scene FROM scored WHERE trim(scene) NOT IN ('', '?') AND scene <> 'seg_' || split_part(clip, '_', 2)
+), edge AS (SELECT a, b FROM tie UNION SELECT b, a FROM tie
+), reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a
+), root AS (SELECT a AS scene, least(a, min(b)) AS root FROM reach GROUP BY a
+), clips AS (
+  SELECT DISTINCT 'clip_' || scene[5:] || '_' || idx AS clip, scene FROM windows WHERE scene IS NOT NULL AND idx IS NOT NULL
+  UNION SELECT clip, 'seg_' || split_part(clip, '_', 2) FROM scored WHERE clip IS NOT NULL
+), tied AS (SELECT clip, c.scene, coalesce(root, c.scene) AS root FROM clips c LEFT JOIN root r ON r.scene = c.scene
+), grp AS (SELECT root, count(*) AS n FROM tied GROUP BY root
+), ord AS (SELECT root, n, row_number() OVER (ORDER BY n DESC, root) AS i, sum(n) OVER () AS total FROM grp
+), deal AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c, CAST(0 AS BIGINT) AS n, -1 AS k
+  UNION ALL
+  SELECT i, a + CASE WHEN k = 0 THEN n ELSE 0 END, b + CASE WHEN k = 1 THEN n ELSE 0 END, c + CASE WHEN k = 2 THEN n ELSE 0 END, n, k
+  FROM (SELECT o.i, d.a, d.b, d.c, o.n, CASE WHEN 0.8::DOUBLE * total - a >= greatest(0.1::DOUBLE * total - b, 0.1::DOUBLE * total - c) THEN 0 WHEN 0.1::DOUBLE * total - b >= 0.1::DOUBLE * total - c THEN 1 ELSE 2 END AS k
+        FROM deal d JOIN ord o ON o.i = d.i + 1)
+), nth AS (SELECT n, k, row_number() OVER (PARTITION BY n ORDER BY k) AS j FROM deal WHERE i > 0
+), home AS (SELECT o.root, k FROM (SELECT root, n, row_number() OVER (PARTITION BY n ORDER BY root) AS j FROM ord) o JOIN nth USING (n, j)
+), split AS (SELECT clip, scene, root, ['train', 'validation', 'test'][k + 1] AS split FROM tied JOIN home USING (root))"""
+
+
+@REG.add("p3_splits", SPLITS_SQL + " SELECT clip, scene, split FROM split")
 def p3_splits(spark: SparkSession, where: str) -> DataFrame:
     """A split for every clip of windows and scored, the same for all clips whose scenes are tied."""
     w = table(spark, where, "windows").groupBy("scene", "idx").agg(F.lit(1).alias("one"))
@@ -129,13 +156,10 @@ def p3_splits(spark: SparkSession, where: str) -> DataFrame:
     roots = scene_groups(spark, where).distinct()
     tied = clips.join(roots, "scene", "left").withColumn("root", F.coalesce("root", F.concat(F.lit("scene:"), "scene")))
     sizes = tied.groupBy("root").agg(F.count("*").alias("clips"))
-    return tied.join(assign(sizes, "root", "clips", SHARES).select("root", "split"), "root").select("clip", "scene", "split")
+    return looked_up(tied, assign(sizes, "root", "clips", SHARES).select("root", "split"), "root", "clip").select("clip", "scene", "split")
 
 
-@REG.add(
-    "p3_shares",
-    None,
-)
+@REG.add("p3_shares", SPLITS_SQL + " SELECT split, count(*) AS clips, count(*) / (SELECT count(*) FROM split) AS share FROM split GROUP BY split")
 def p3_shares(spark: SparkSession, where: str) -> DataFrame:
     """Clips and actual share of each split."""
     n = p3_splits(spark, where).groupBy("split").agg(F.count("*").alias("clips"))
@@ -188,9 +212,16 @@ def mixed(spark: SparkSession, where: str) -> tuple[DataFrame, DataFrame]:
     return mix(stored(docs, "tokens"), table(spark, where, "mix_targets"))
 
 
-@REG.add("p7_found")
+# the cases are the same for any usual tokenizer; in SQL a token is a byte
+@REG.add(
+    "p7_found",
+    """WITH d AS (SELECT lower(trim(source)) AS source, sum(strlen(text)) AS size FROM documents GROUP BY ALL
+), t AS (SELECT lower(trim(source)) AS source, sum(target_share) AS share, max(max_repeats) AS repeats FROM mix_targets GROUP BY ALL
+), b AS (SELECT t.*, coalesce(size, 0) AS size, sum(coalesce(size, 0)) OVER () AS total FROM t LEFT JOIN d USING (source))
+SELECT source FROM b WHERE size * repeats < share * total""",
+)
 def p7_found(spark: SparkSession, where: str) -> DataFrame:
-    """Sources that can't reach their target."""
+    """Sources of which the mix holds all that it may and still less than their target."""
     return mixed(spark, where)[1].filter("short").select("source")
 
 

@@ -2,9 +2,10 @@
 
 Ties between records form components. They are found by distributed union-find: every task builds the forest of its own
 edges and passes on only (node, root) edges, fewer than the nodes it saw. Forests are merged hierarchically: from level
-to level the edges meet in fewer, larger tasks. A level is entered only while its tasks stay below ``TASK_EDGES``; what is
-left then goes through rounds of joins (each node to the least neighbour, each root to the least root), so no task ever
-holds all nodes. Components go to splits largest first, each to the split furthest below its target.
+to level the edges meet in fewer, larger tasks. A level is entered only while its tasks stay below ``TASK_EDGES``. Where the
+edges are too many for that, only those that tie trees of different tasks go on, as a smaller set of edges between roots,
+through the same levels; the other nodes then look up their root. So no task ever holds all nodes, at any size, and every
+tie is made by a local forest. Components go to splits largest first, each to the split furthest below its target.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipstrata.session import cut
+from clipstrata.operators.ranges import running
+from clipstrata.session import cut, looked_up
 
 #: Edges that one task's forest may hold (some 200 bytes each).
 TASK_EDGES = 1_000_000
@@ -76,24 +78,23 @@ def components(edges: DataFrame, a: str, b: str, *, task_edges: int = TASK_EDGES
         if n and forest.rdd.getNumPartitions() > 1:
             forest = cut(forest.repartition(1).mapInArrow(grow, schema))
         return forest
-    return _rounds(forest)
-
-
-def _rounds(forest: DataFrame) -> DataFrame:
-    """Ties the trees of all tasks by joins: every node takes the least of its roots, every root learns of the others."""
-    pairs = forest
-    while True:
-        least = pairs.groupBy("node").agg(F.min("root").alias("least"))
-        # a node's other roots belong under the least one
-        other = pairs.join(least, "node").filter(F.col("root") != F.col("least")).select(F.col("root").alias("node"), F.col("least").alias("root"))
-        jump = least.alias("l").join(least.alias("r"), F.col("l.least") == F.col("r.node"), "left").select(
-            F.col("l.node").alias("node"), F.coalesce("r.least", "l.least").alias("root")
-        )
-        new = cut(jump.unionByName(other).distinct())
-        same = new.count() == pairs.count() and new.exceptAll(pairs).isEmpty()
-        pairs = new
-        if same:
-            return pairs.groupBy("node").agg(F.min("root").alias("root"))
+    return _level(forest, task_edges, fan)
+
+
+def _level(forest: DataFrame, task_edges: int, fan: int) -> DataFrame:
+    """One more level where all edges are too many for fewer tasks: the edges that tie trees to each other are merged by
+    themselves.
+
+    Nodes with one root tie nothing to anything and rest. The others tie their roots: (root, least root) edges, which go
+    through the same merging by levels, are far fewer, as a forest has an edge for each node but ties only for nodes that
+    several tasks saw. The answer is joined back to the resting edges on the root; a root that many nodes have is salted on
+    the side of the nodes, while its one row is repeated for each salt.
+    """
+    least = cut(forest.groupBy("node").agg(F.min("root").alias("least"), F.max("root").alias("most")))
+    several = least.filter("least <> most").select("node", "least")
+    ties = forest.join(several, "node").filter(F.col("root") != F.col("least")).select("root", F.col("least").alias("other")).distinct()
+    tops = components(ties, "root", "other", task_edges=task_edges, fan=fan).select(F.col("node").alias("least"), F.col("root").alias("top"))
+    return looked_up(least.select("node", "least"), tops, "least", "node", "left").select("node", F.coalesce("top", "least").alias("root"))
 
 
 def assign(groups: DataFrame, group: str, size: str, shares: dict[str, float]) -> DataFrame:
@@ -106,8 +107,7 @@ def assign(groups: DataFrame, group: str, size: str, shares: dict[str, float]) -
     if abs(sum(shares.values()) - 1) > 1e-9 or min(shares.values()) < 0:
         raise ValueError("shares must not be negative and must add up to 1")
     g = groups.filter(F.col(group).isNotNull()).select(F.col(group).alias("_g"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_s"))
-    g = g.withColumn("_h", F.pmod(F.xxhash64("_g"), F.lit(1024)))
-    counts = g.groupBy("_s", "_h").agg(F.count("*").alias("_n"))
+    counts = g.groupBy("_s").agg(F.count("*").alias("_n"))
     names = list(shares)
 
     def deal(key, pdf):
@@ -141,11 +141,8 @@ def assign(groups: DataFrame, group: str, size: str, shares: dict[str, float]) -
         return pd.DataFrame(out, columns=["_s", "split", "first", "last"])
 
     # one row for each distinct size: at most the square root of twice the number of records
-    plan = counts.groupBy("_s").agg(F.sum("_n").alias("_n")).withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(deal, "_s long, split string, first long, last long")
-    ahead = Window.partitionBy("_s").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    start = counts.select("_s", "_h", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_o"))
-    nth = F.row_number().over(Window.partitionBy("_s", "_h").orderBy("_g")) + F.col("_o")
-    placed = g.join(start, ["_s", "_h"]).withColumn("_i", nth)
+    plan = counts.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(deal, "_s long, split string, first long, last long")
+    placed = running(g, "_g", {"_i": F.lit(1).cast("long")}, within=["_s"])
     plan = cut(plan)
     if plan.count() <= 100_000:  # some 60 bytes a row
         plan = F.broadcast(plan)
