@@ -7,11 +7,15 @@ compared without mark-up, case, punctuation, width variants and invisible charac
 * *Shingles.* An item's words (characters) give shingles of five. A passage of n words with e edits keeps at least
   n - 4 - 5e of its shingles, which is what makes the filters below complete: 5 for words, 8 for characters.
 * *Rarity.* One pass over all documents counts in how many each shingle of an item stands.
+* *Short windows suffice.* A passage of any length holds one that is shorter than ``Passage.longest`` words: cut it into
+  stretches of half of that; one of them has no more edits for its length than the whole, and after edits at its ends are
+  trimmed it is still ``least`` words long. So windows up to that length are all that has to be looked at, and no step costs
+  more than the items' length times a constant.
 * *Prefixes.* For every window of an item that could be a passage, the shingles are ordered by rarity; a document that
   holds the window must share one of the rarest 5e + 1. Only these are looked up to make candidates, so shingles that
-  stand in many documents make none.
+  stand in many documents make none. Of windows with equal e the shortest have the others' prefixes in theirs.
 * *Bounds.* A candidate needs that many shared shingles whose places in item and document run in step, up to the edits
-  allowed, within a stretch as long as the item.
+  allowed, within a stretch as long as a window.
 * *Verification.* In that band an alignment finds whether any window of the item has few enough edits, exactly.
 
 Wording that stands in ``common`` or more items (``wording`` words in a row of a sentence) is no item's own and is cut out
@@ -21,6 +25,7 @@ blocks they fill. Items come in blocks of bounded size, and documents are read w
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import html
 import re
@@ -43,7 +48,7 @@ _SENTENCE = re.compile(r"[.!?。！？]+(?=\s|$|[^\x00-\x7f])|[。！？\n]+|[!?
 _UNSPACED = re.compile(r"[぀-ヿ㐀-鿿豈-﫿฀-๿]")
 _UNSEEN = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x10000) if unicodedata.category(chr(c)) == "Cf") + "]+")
 #: Characters of items that are kept as one broadcast block.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -56,6 +61,10 @@ class Passage:
     wording_chars: int = 20
     shingle: int = 5
 
+    def longest(self, least: int) -> int:
+        """Twice the words that still leave ``least`` when as many as may be edited are trimmed."""
+        return 2 * -(-least * self.one_in // (self.one_in - 2)) if self.one_in > 2 else 1 << 40
+
 
 def plain(text: str) -> str:
     """The text without mark-up, width and case variants, and invisible characters."""
@@ -174,18 +183,21 @@ class Index:
         """Leaves, for look-up, the shingles that are in the prefix of any window which could be a passage."""
         self.prefix = set()
         for n, (_, zh, run) in enumerate(self.parts):
-            k, least = self.p.shingle, self.p.least_chars if zh else self.p.least
+            p, least = self.p, self.p.least_chars if zh else self.p.least
             grams = [g for _, g in self._grams(zh, self.seqs[n])]
             rarity = np.array([held_by.get(self.number[g], 0) for g in grams])
             order = np.lexsort((np.arange(len(grams)), rarity)).argsort()
-            a, b = np.arange(len(grams))[:, None], np.arange(len(grams))[None, :]
-            length = b - a + k  # words of the window whose shingles are a..b
-            room = np.where(length >= least, k * (length // self.p.one_in) + 1, 0)
-            for i, g in enumerate(grams):
-                rarer = np.concatenate([[0], np.cumsum(order < order[i])])
-                rank = rarer[1:][None, :] - rarer[:-1][:, None]
-                if ((a <= i) & (b >= i) & (rank < room)).any():
-                    self.prefix.add(g)
+            most = min(p.longest(least), len(run) + 1)
+            kept = np.zeros(len(grams), bool)
+            for words_ in [least, *range(-(-(least + 1) // p.one_in) * p.one_in, most, p.one_in)]:
+                wide, room = words_ - p.shingle + 1, p.shingle * (words_ // p.one_in) + 1
+                if room >= wide:
+                    kept[:] = True
+                for at in range(0, len(grams) - wide + 1, 4096):
+                    view = np.lib.stride_tricks.sliding_window_view(order[at : at + 4096 + wide - 1], wide)
+                    first = np.argpartition(view, min(room, wide) - 1, axis=1)[:, :room] + np.arange(at, at + len(view))[:, None]
+                    kept[first.ravel()] = True
+            self.prefix.update(g for g, k in zip(grams, kept.tolist()) if k)
 
     def found(self, text: str) -> set[int]:
         out: set[int] = set()
@@ -207,36 +219,36 @@ class Index:
     def _holds(self, n: int, zh: bool, stream: list[int], pairs: list[tuple[int, int]]) -> bool:
         seq, p = self.seqs[n], self.p
         least, k = p.least_chars if zh else p.least, p.shingle
-        slack, reach = len(seq) // p.one_in, len(seq) + len(seq) // p.one_in
-        need = max(1, min(m - k + 1 - k * (m // p.one_in) for m in range(least, len(seq) + 1)))
-        # shared shingles of a passage lie on diagonals at most ``slack`` apart, and in the text no further than ``reach``
-        diag = sorted((j - i, j) for i, j in pairs)
+        most = min(len(seq), p.longest(least))
+        slack = most // p.one_in
+        need = max(1, min(m - k + 1 - k * (m // p.one_in) for m in range(least, most + 1)))
+        i, j = np.array(pairs).T
+        order = np.lexsort((j, j - i))
+        diag, j = (j - i)[order], j[order]
         whole = least - k  # that many steps from one shingle to the next along a diagonal: a passage without edits
-        if any(diag[x + whole][0] == diag[x][0] and diag[x + whole][1] == diag[x][1] + whole for x in range(len(diag) - whole)):
+        if len(diag) > whole and ((diag[whole:] == diag[: len(diag) - whole]) & (j[whole:] == j[: len(j) - whole] + whole)).any():
             return True
+        # shared shingles of a passage lie on diagonals at most ``slack`` apart, and in the text within a window and its
+        # additions; what starts on one of the diagonals up to ``slack`` is looked for at once
         at = 0
-        while at + need <= len(diag):
-            d0 = diag[at][0]
-            band = [x for x in diag[at:] if x[0] <= d0 + slack]
-            js = sorted(j for _, j in band)
-            if any(js[x + need - 1] - js[x] <= reach for x in range(len(js) - need + 1)):
-                # passages that hold this diagonal at the lower end of theirs lie within the band
-                if aligned(seq, stream, d0 - slack, d0 + 2 * slack, least, p.one_in):
+        while at < len(diag):
+            low = int(diag[at])
+            near = np.sort(j[at : np.searchsorted(diag, low + 2 * slack, "right")])
+            if len(near) >= need and (near[need - 1 :] - near[: len(near) - need + 1] <= most + slack).any():
+                if aligned(seq, stream, low - slack, low + 2 * slack, least, p.one_in, most):
                     return True
-                while at < len(diag) and diag[at][0] <= d0 + slack:  # those diagonals have been seen, with all about them
-                    at += 1
-            else:
-                at += 1
+            at = int(np.searchsorted(diag, low + slack, "right"))
         return False
 
 
-def aligned(item: list[int], text: list[int], low: int, high: int, least: int, one_in: int) -> bool:
+def aligned(item: list[int], text: list[int], low: int, high: int, least: int, one_in: int, most: int | None = None) -> bool:
     """True if some window of at least ``least`` words of ``item``, which starts and ends with words that are in the text,
     aligns with a stretch of ``text`` at no more edits than one in ``one_in`` of its words, with its start on one of the
     diagonals low..high (text place less item place). Ids above 0 are equal or not; 0 equals nothing.
 
     From every start of a run of equal words, the furthest item place is kept for each number of edits and diagonal, and
-    extended along equal words: of windows with one start and as many edits, the longest is all that matters.
+    extended along equal words: of windows with one start and as many edits, the longest is all that matters. ``most``:
+    windows up to this length are enough.
     """
     n, m = len(item), len(text)
     at: dict[int, list[int]] = defaultdict(list)
@@ -246,11 +258,12 @@ def aligned(item: list[int], text: list[int], low: int, high: int, least: int, o
     for i0, w in enumerate(item):
         if n - i0 < least:
             return False
-        for j0 in at.get(w, ()):
-            if not low <= j0 - i0 <= high or (i0 and j0 and item[i0 - 1] == text[j0 - 1]):
+        there = at.get(w, ())
+        for j0 in there[bisect.bisect_left(there, i0 + low) : bisect.bisect_right(there, i0 + high)] if there else ():
+            if (i0 and j0 and item[i0 - 1] == text[j0 - 1]):
                 continue  # out of the band, or a run that starts earlier is the longer window
             reach = {j0 - i0: i0}
-            for edits in range((n - i0) // one_in + 1):
+            for edits in range(min(n - i0, most or n) // one_in + 1):
                 far: dict[int, int] = {}
                 for d, i in reach.items():
                     start = i

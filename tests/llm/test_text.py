@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 
@@ -111,6 +112,40 @@ def test_prefixes_lose_nothing():
             assert ix.found(" ".join(text)) == {1}
 
 
+def test_long_items_and_repetitive_documents():
+    rnd = random.Random(6)
+    item = " ".join(f"w{rnd.randrange(3000)}" for _ in range(20_000))
+    t = time.time()
+    ix = Index([(1, item)], Passage())
+    ix.keep_prefixes({n: rnd.randrange(50) for n in ix.number.values()})
+    w = item.split()
+    part = w[7000:7200]
+    for k in range(5, 200, 9):  # one in nine is changed
+        part[k] = "maybe"
+    assert ix.found("x y " + " ".join(part) + " z") == {1} and ix.found(" ".join(w[100:119])) == set()
+    assert ix.found(" ".join(w[500:515]) * 1 + " " + " ".join([*w[300:310], "a"] * 3000)) == set()
+    assert time.time() - t < 20
+
+
+def test_prefixes_equal_all_windows():
+    """What the shortest windows keep is what windows of any length up to the longest keep."""
+    rnd = random.Random(12)
+    p = Passage()
+    for _ in range(5):
+        item = " ".join(f"w{rnd.randrange(400)}" for _ in range(rnd.randint(20, 90)))
+        ix = Index([(1, item)], p)
+        held = {n: rnd.randrange(6) for n in ix.number.values()}
+        ix.keep_prefixes(held)
+        want = set()
+        for _, zh, run in ix.parts:
+            grams = [g for _, g in ix._grams(zh, ix.seqs[0])]
+            for m in range(20, min(p.longest(20), len(run) + 1)):
+                for a in range(len(grams) - (m - 4) + 1):
+                    inside = sorted(range(a, a + m - 4), key=lambda i: (held[ix.number[grams[i]]], i))
+                    want |= {grams[i] for i in inside[: 5 * (m // 8) + 1]}
+        assert ix.prefix == want
+
+
 def test_leaks_on_tables(spark):
     docs = spark.createDataFrame([(1, OWN, "x"), (2, None, "x"), (3, "", "x"), (None, OWN, "x"), (5, "long " * 50000 + OWN, "x"), (1, OWN, "x")], "doc_id long, text string, item_id string")
     items = spark.createDataFrame([(1, ITEM, "x"), (1, ITEM, "x"), (9, None, "x")], "item_id long, text string, doc_id string")
