@@ -8,9 +8,11 @@ went in. The steps, all in the JVM:
    shards, kept as one run of shards, so a long interval costs no more rows than a short one.
 2. Runs of one shard with equal start are combined before the shuffle to the longest. At most ``SHARD`` rows for an
    entity and shard are left, so an entity that holds a third of all rows is spread by shard and start and then small.
-3. The remaining runs of a shard are sorted and united to its bitmap in one pass.
-4. Bitmaps and runs of whole shards of an entity are put in order. One row a shard is all that this window sees; it
-   carries over what reaches a shard's edge. Set runs are the periods, clear runs between them the gaps.
+3. Each of the remaining runs is a bitmap of one run. Those of a shard are united in the order of their starts, in one pass,
+   to the shard's bitmap: its runs of set units, none of which touch.
+4. Set and clear runs that lie within a shard are periods and gaps as they are and go out from there. Of each shard only the
+   edges (where its first and last set runs start and stop) are put in order by entity, with the runs of whole shards: one
+   short row a shard, however many runs it has. That window carries over what reaches a shard's edge.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipstrata.session import stored
+
 #: Units in a shard. With milliseconds a shard is about 65 seconds.
 SHARD = 1 << 16
 
@@ -37,8 +41,9 @@ def _united(piece: DataFrame, names: list[str]) -> DataFrame:
     return run.groupBy(*names, "s").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
 
-def run_bitmaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shard: int = SHARD) -> DataFrame:
-    """(entity, s1, s2, runs): the disjoint blocks of shards [s1, s2) with set units, and their runs."""
+def run_bitmaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
+    """(bitmaps, wholes). Bitmaps: (entity, s, runs), for each shard that is set in part its runs of set units. Wholes:
+    (entity, s1, s2), runs of shards [s1, s2) that are set as a whole; they may overlap each other and cover bitmaps."""
     keys = [F.col(c).alias(f"_e{i}") for i, c in enumerate(entity)]
     names = [f"_e{i}" for i in range(len(entity))]
     timed = df.filter(F.col(start).isNotNull() & F.col(stop).isNotNull() & (F.col(start) != F.col(stop)))
@@ -58,27 +63,9 @@ def run_bitmaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shar
     piece = iv.select(*names, F.explode(pieces).alias("_p")).select(*names, "_p.*")
     # a whole shard counts among the whole ones, wherever it came from
     full = (F.col("e") > F.col("s") + 1) | (F.col("b") - F.col("a") == n)
-    piece = piece.withColumn("f", full)
-    longest = piece.groupBy(*names, "s", "f", "a").agg(F.max("b").alias("b"))
-    part = (
-        _united(longest.filter(~F.col("f")), names)
-        .select(*names, F.col("s").alias("s1"), (F.col("s") + 1).alias("s2"), "runs", F.lit(False).alias("f"))
-    )
-    wholes = longest.filter("f").select(
-        *names, F.col("s").alias("s1"), F.expr(f"b div {shard}").alias("s2"), F.array(F.struct("a", "b")).alias("runs"), F.lit(True).alias("f")
-    )
-    order = Window.partitionBy(*names).orderBy("s1", F.col("f").desc())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = part.unionByName(wholes).withColumn("_reach", F.max(F.when(F.col("f"), F.col("s2"))).over(before))
-    # what lies in shards already covered adds nothing; a longer run of whole shards loses its covered head
-    blocks = blocks.filter(F.col("_reach").isNull() | (F.col("_reach") < F.col("s2")))
-    cut_off = F.col("f") & (F.col("_reach") > F.col("s1"))
-    return blocks.select(
-        *names,
-        F.when(cut_off, F.col("_reach")).otherwise(F.col("s1")).alias("s1"),
-        "s2",
-        F.when(cut_off, F.array(F.struct((F.col("_reach") * n).alias("a"), F.col("runs")[0]["b"].alias("b")))).otherwise(F.col("runs")).alias("runs"),
-    )
+    longest = piece.withColumn("f", full).groupBy(*names, "s", "f", "a").agg(F.max("b").alias("b"))
+    wholes = longest.filter("f").select(*names, F.col("s").alias("s1"), F.expr(f"b div {shard}").alias("s2"))
+    return _united(longest.filter(~F.col("f")), names), wholes
 
 
 def periods_and_gaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shard: int = SHARD) -> DataFrame:
@@ -90,28 +77,40 @@ def periods_and_gaps(df: DataFrame, entity: list[str], start: str, stop: str, *,
     ignored, whatever their names.
     """
     names = [f"_e{i}" for i in range(len(entity))]
-    blocks = run_bitmaps(df, entity, start, stop, shard=shard)
+    bitmaps, wholes = run_bitmaps(df, entity, start, stop, shard=shard)
+    bitmaps = stored(bitmaps, "bitmaps")
+    n, runs, k = F.lit(shard).cast("long"), F.col("runs"), F.size("runs")
+    last = F.element_at(runs, -1)
+    # the edges of each shard: where its first and its last run start and stop
+    edges = bitmaps.select(*names, F.col("s").alias("s1"), (F.col("s") + 1).alias("s2"), F.lit(False).alias("f"), k.alias("k"), runs[0]["a"].alias("a1"), runs[0]["b"].alias("b1"), last["a"].alias("a2"), last["b"].alias("b2"))
+    span = [(F.col("s1") * n).alias("a1"), (F.col("s2") * n).alias("b1"), (F.col("s1") * n).alias("a2"), (F.col("s2") * n).alias("b2")]
+    edges = edges.unionByName(wholes.select(*names, "s1", "s2", F.lit(True).alias("f"), F.lit(1).alias("k"), *span))
+    order = Window.partitionBy(*names).orderBy("s1", F.col("f").desc())
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn("_reach", F.max(F.when(F.col("f"), F.col("s2"))).over(before))
+    # what lies in shards already covered adds nothing; a longer run of whole shards loses its covered head
+    over = F.coalesce(F.col("_reach") >= F.col("s2"), F.lit(False))
+    head = F.when(F.col("f") & (F.col("_reach") > F.col("s1")), F.col("_reach") * n)
+    left = edges.filter(~over).withColumns({"a1": F.coalesce(head, "a1"), "a2": F.coalesce(head, "a2")})
     order = Window.partitionBy(*names).orderBy("s1")
-    runs, k = F.col("runs"), F.size("runs")
-    ends = blocks.withColumn("_f", runs[0]["a"]).withColumn("_l", F.element_at(runs, -1)["b"])
-    ends = ends.withColumn("_pl", F.lag("_l").over(order)).withColumn("_nf", F.lead("_f").over(order))
-    joined = F.coalesce(F.col("_pl") == F.col("_f"), F.lit(False))
-    ends = ends.withColumn("_j", joined).withColumn("_own", F.when((k > 1) | ~F.col("_j"), F.element_at(runs, -1)["a"]))
-    ends = ends.withColumn("_open", F.last("_own", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = ends.withColumn("_from", F.last("_own", True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    left = left.withColumn("_pl", F.lag("b2").over(order)).withColumn("_nf", F.lead("a1").over(order))
+    left = left.withColumn("_j", F.coalesce(F.col("_pl") == F.col("a1"), F.lit(False)))
+    left = left.withColumn("_own", F.when((F.col("k") > 1) | ~F.col("_j"), F.col("a2")))
+    left = left.withColumn("_open", F.last("_own", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    left = left.withColumn("_from", F.last("_own", True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
     out = lambda what, a, b: F.struct(F.lit(what).alias("what"), a.alias("start"), b.alias("stop"))
     none = F.array().cast("array<struct<what:string,start:bigint,stop:bigint>>")
-    head = F.when(F.col("_j"), F.col("_from")).otherwise(F.col("_f"))
-    cases = F.concat(
-        F.when(k > 1, F.array(out("period", head, runs[0]["b"]))).otherwise(none),
+    first = F.when(F.col("_j"), F.col("_from")).otherwise(F.col("a1"))
+    outer = F.array_compact(F.array(
+        F.when(F.col("k") > 1, out("period", first, F.col("b1"))),
+        F.when(F.coalesce(F.col("_nf") != F.col("b2"), F.lit(True)), out("period", F.col("_open"), F.col("b2"))),
+        F.when(F.col("_pl").isNotNull() & ~F.col("_j"), out("gap", F.col("_pl"), F.col("a1"))),
+    ))
+    inner = F.concat(
         F.when(k > 2, F.transform(F.slice(runs, F.lit(2), k - 2), lambda r: out("period", r["a"], r["b"]))).otherwise(none),
-        F.when(F.coalesce(F.col("_nf") != F.col("_l"), F.lit(True)), F.array(out("period", F.col("_open"), F.col("_l")))).otherwise(none),
-        F.when(
-            k > 1,
-            F.zip_with(F.slice(runs, F.lit(1), k - 1), F.slice(runs, F.lit(2), k - 1), lambda x, y: out("gap", x["b"], y["a"])),
-        ).otherwise(none),
-        F.when(F.col("_pl").isNotNull() & ~F.col("_j"), F.array(out("gap", F.col("_pl"), F.col("_f")))).otherwise(none),
-    )
-    return ends.select(*names, F.explode(cases).alias("_c")).select(
-        *[F.col(n).alias(c) for n, c in zip(names, entity)], "_c.what", "_c.start", "_c.stop"
+        F.zip_with(F.slice(runs, F.lit(1), k - 1), F.slice(runs, F.lit(2), k - 1), lambda x, y: out("gap", x["b"], y["a"])),
     )
+    covered = edges.filter(over & ~F.col("f") & (F.col("k") > 1)).select(*names, F.col("s1").alias("s"))
+    inside = bitmaps.filter(k > 1).join(covered, [*names, "s"], "left_anti")
+    both = left.select(*names, F.explode(outer).alias("_c")).unionByName(inside.select(*names, F.explode(inner).alias("_c")))
+    return both.select(*[F.col(n).alias(c) for n, c in zip(names, entity)], "_c.what", "_c.start", "_c.stop")
