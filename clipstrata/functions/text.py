@@ -8,15 +8,44 @@ from pyspark.sql import functions as F
 # Words that name a vehicle, or other people.
 VEHICLE_WORDS = ("car", "cars", "truck", "trucks", "bus", "buses", "van", "vans", "taxi", "taxis", "motorcycle", "motorbike", "scooter", "traffic", "driving", "drives", "vehicle", "vehicles")
 CROWD_WORDS = ("crowd", "crowds", "pedestrian", "pedestrians", "passer", "passers", "bystander", "bystanders", "people", "shopper", "shoppers")
-# The third person and the -ing form of verbs that a caption may name.
-VERBS = {
+# The third person and the -ing form of the verbs that a caption may name, of subjects and of the camera.
+SUBJECT_VERBS = {
     "stand": ("stands", "standing"), "walk": ("walks", "walking"), "run": ("runs", "running"), "sprint": ("sprints", "sprinting"), "jog": ("jogs", "jogging"),
     "turn": ("turns", "turning"), "stop": ("stops", "stopping"), "crouch": ("crouches", "crouching"), "kneel": ("kneels", "kneeling"), "sit": ("sits", "sitting"),
     "jump": ("jumps", "jumping"), "climb": ("climbs", "climbing"), "crawl": ("crawls", "crawling"), "swim": ("swims", "swimming"), "fall": ("falls", "falling"),
-    "land": ("lands", "landing"), "enter": ("enters", "entering"), "retreat": ("retreats", "retreating"), "look": ("looks", "looking"), "push": ("pushes", "pushing"),
-    "pull": ("pulls", "pulling"), "carry": ("carries", "carrying"), "open": ("opens", "opening"), "close": ("closes", "closing"), "wave": ("waves", "waving"),
-    "talk": ("talks", "talking"), "wander": ("wanders", "wandering"),
+    "land": ("lands", "landing"), "drive": ("drives", "driving"), "ride": ("rides", "riding"), "enter": ("enters", "entering"), "exit": ("exits", "exiting"),
+    "approach": ("approaches", "approaching"), "retreat": ("retreats", "retreating"), "follow": ("follows", "following"), "look": ("looks", "looking"), "aim": ("aims", "aiming"),
+    "shoot": ("shoots", "shooting"), "swing": ("swings", "swinging"), "push": ("pushes", "pushing"), "pull": ("pulls", "pulling"), "carry": ("carries", "carrying"),
+    "open": ("opens", "opening"), "close": ("closes", "closing"), "wave": ("waves", "waving"), "talk": ("talks", "talking"), "wander": ("wanders", "wandering"),
+    "hover": ("hovers", "hovering"), "fly": ("flies", "flying"), "other": ("moves", "moving"),
 }
+CAMERA_VERBS = {
+    "hold": ("holds", "holding"), "track": ("tracks", "tracking"), "follow": ("follows", "following"), "orbit": ("orbits", "orbiting"), "pan": ("pans", "panning"),
+    "tilt": ("tilts", "tilting"), "push_in": ("pushes in", "pushing in"), "pull_back": ("pulls back", "pulling back"), "crane": ("cranes", "craning"),
+    "drift": ("drifts", "drifting"), "shake": ("shakes", "shaking"), "cut": ("cuts", "cutting"), "other": ("moves", "moving"),
+}
+# Kinds of entities, channels of events, ways a figure may face, verbs without motion.
+KINDS = ("man", "woman", "person", "child", "crowd", "animal", "car", "truck", "bus", "motorcycle", "bicycle", "boat", "aircraft", "vehicle", "other")
+CHANNELS = ("subject", "camera")
+FACING = ("back", "front", "left_profile", "right_profile", "three_quarter_left", "three_quarter_right", "unknown")
+STILL_VERBS, STILL_CAMERA = ("stand", "sit", "kneel", "crouch"), ("hold",)
+VEHICLE_KINDS, PERSON_KINDS = ("car", "truck", "bus", "motorcycle", "vehicle"), ("man", "woman", "person", "child", "crowd")
+
+
+def _table(verbs: dict[str, tuple[str, str]], form: int) -> Column:
+    return F.create_map(*[F.lit(x) for k, v in verbs.items() for x in (k, v[form])])
+
+
+def conjugated(lemma: Column, channel: Column, form: int) -> Column:
+    """The third person (0) or the -ing form (1) of a verb; unlisted verbs, and null, take that of ``other``."""
+    key = F.lower(F.trim(F.coalesce(lemma, F.lit(""))))
+    of = lambda verbs: F.coalesce(F.try_element_at(_table(verbs, form), key), F.lit(verbs["other"][form]))
+    return F.when(channel == "camera", of(CAMERA_VERBS)).otherwise(of(SUBJECT_VERBS))
+
+
+def known_verb(lemma: Column, channel: Column) -> Column:
+    key = F.lower(F.trim(F.coalesce(lemma, F.lit(""))))
+    return F.when(channel == "camera", key.isin(*CAMERA_VERBS)).otherwise(key.isin(*SUBJECT_VERBS))
 
 
 def clean(text: Column) -> Column:
@@ -57,6 +86,17 @@ def strip_verb(phrase: Column, third: Column, gerund: Column, lemma: Column) ->
     return out
 
 
+def complement(phrase: Column, lemma: Column, channel: Column) -> Column:
+    """The phrase without its verb in front, in whichever of its forms."""
+    listed = F.when(known_verb(lemma, channel), F.lower(F.trim(lemma))).otherwise(F.lit("other"))
+    return strip_verb(phrase, conjugated(lemma, channel, 0), conjugated(lemma, channel, 1), listed)
+
+
+def joined(*parts: Column) -> Column:
+    """The parts that aren't empty, with blanks between them."""
+    return F.array_join(F.filter(F.array(*parts), lambda x: x != ""), " ")
+
+
 def stamp(start: Column, stop: Column) -> Column:
     return F.format_string("[%.2fs-%.2fs]", start.cast("double"), stop.cast("double"))
 

@@ -134,7 +134,7 @@ WITH cam AS (SELECT vec_id // 124 AS seg, CAST(vec_id % 124 AS INT) AS f, CAST(e
 ), tru AS (SELECT seg, f, x * 3 AS x, y * 3 AS y, z * 3 + (f % 5) * 0.01 AS z FROM cam
 ), pr AS (
   SELECT a.seg, sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2) AS dp, sqrt((c.x-d.x)**2 + (c.y-d.y)**2 + (c.z-d.z)**2) AS dt
-  FROM cam a JOIN cam b ON a.seg = b.seg AND a.f < b.f AND b.f <= a.f + 8 JOIN tru c ON c.seg = a.seg AND c.f = a.f JOIN tru d ON d.seg = b.seg AND d.f = b.f
+  FROM cam a JOIN cam b ON a.seg = b.seg AND a.f < b.f JOIN tru c ON c.seg = a.seg AND c.f = a.f JOIN tru d ON d.seg = b.seg AND d.f = b.f
 ), r AS (SELECT seg, dt / dp AS r FROM pr WHERE dt > 0.05 AND dp > 1e-9), m AS (SELECT seg, quantile_cont(r, 0.5) AS scale, count(*) AS pairs FROM r GROUP BY seg
 ), s AS (SELECT seg, quantile_cont(abs(r - scale), 0.5) / greatest(any_value(scale), 1e-9) AS disp FROM r JOIN m USING (seg) GROUP BY seg), n AS (SELECT seg, count(*) AS n FROM cam GROUP BY seg)"""
 
@@ -146,10 +146,7 @@ WITH cam AS (SELECT vec_id // 124 AS seg, CAST(vec_id % 124 AS INT) AS f, CAST(e
 coalesce(pairs >= greatest(3, n // 10) AND disp <= 0.25, false) AS solved FROM n LEFT JOIN m USING (seg) LEFT JOIN s USING (seg)""",
 )
 def camera_scale(spark: SparkSession, where: str) -> DataFrame:
-    """The scale between two camera paths, from the distances of all pairs of cameras of a segment.
-
-    The SQL beside it takes cameras up to eight frames apart only, so its results differ.
-    """
+    """The scale between two camera paths, from the distances of all pairs of cameras of a segment."""
     at = lambda k: F.element_at("embedding", k).cast("double")
     cam = table(spark, where, "embeddings").select(F.expr("vec_id div 124").alias("seg"), F.expr("cast(vec_id % 124 as int)").alias("f"), at(1).alias("x"), at(2).alias("y"), at(3).alias("z"))
     tru = cam.select("seg", "f", (F.col("x") * 3).alias("x"), (F.col("y") * 3).alias("y"), (F.col("z") * 3 + (F.col("f") % 5) * 0.01).alias("z"))

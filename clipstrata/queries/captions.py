@@ -99,35 +99,51 @@ def text_clean(spark: SparkSession, where: str) -> DataFrame:
     return d.select("doc_id", T.clean(F.col("text")).alias("cleaned"), T.article(F.coalesce("source", F.lit(""))).alias("article"))
 
 
-VERB_SQL = "(VALUES " + ", ".join(f"('{k}', '{a}', '{b}')" for k, (a, b) in T.VERBS.items()) + ") v(lemma, third, gerund)"
+_FORMS = [(c, k, f, v[i]) for c, t in (("subject", T.SUBJECT_VERBS), ("camera", T.CAMERA_VERBS)) for k, v in t.items() if k != "other" for i, f in ((0, "third"), (1, "gerund"))]
+VERB_SQL = "(VALUES " + ", ".join(f"('{c}', '{k}', '{f}', '{w}')" for c, k, f, w in _FORMS) + ") v(channel, lemma, form, word)"
 
 
 @REG.add(
     "verb_use",
-    CAPTION_SQL + f" SELECT lemma, count(*) AS n, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(string_split(lower(phrase), ' ')) AS w FROM ev) JOIN {VERB_SQL} ON w = third GROUP BY lemma",
+    CAPTION_SQL + f""", t AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(phrase), '[^a-z]+', ' ', 'g')) || ' ' AS t FROM ev)
+SELECT channel, lemma, form, count(*) AS n, count(DISTINCT doc_id) AS documents FROM t JOIN {VERB_SQL} ON contains(t, ' ' || word || ' ') GROUP BY ALL""",
 )
 def verb_use(spark: SparkSession, where: str) -> DataFrame:
-    """How often each verb of the vocabulary is used; the vocabulary is a constant of this package, so it is broadcast."""
-    v = spark.createDataFrame([(k, *f) for k, f in T.VERBS.items()], "lemma string, third string, gerund string")
-    w = events(spark, where).select("doc_id", F.explode(F.split(F.lower("phrase"), " ")).alias("third"))
-    return w.join(F.broadcast(v), "third").groupBy("lemma").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("documents"))
+    """In how many sentences each form of each verb of the vocabulary stands. The vocabulary is a constant of this package:
+    its 98 forms are looked for in a sentence one by one, and no row meets another."""
+    t = events(spark, where).select("doc_id", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower("phrase"), "[^a-z]+", " ")), F.lit(" ")).alias("t"))
+    here = [F.when(F.contains("t", F.lit(f" {w} ")), F.struct(F.lit(c).alias("channel"), F.lit(k).alias("lemma"), F.lit(f).alias("form"))) for c, k, f, w in _FORMS]
+    v = t.select("doc_id", F.explode(F.array_compact(F.array(*here))).alias("v")).select("doc_id", "v.*")
+    return v.groupBy("channel", "lemma", "form").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("documents"))
+
+
+_LEMMAS = list(T.SUBJECT_VERBS)
+_STRIP = "CASE " + " ".join(
+    f"WHEN v = {i} THEN CASE " + " ".join(f"WHEN l = '{w}' THEN '' WHEN starts_with(l, '{w} ') THEN trim(p[{len(w) + 2}:])" for w in (*T.SUBJECT_VERBS[k], k)) + " ELSE p END" for i, k in enumerate(_LEMMAS)
+) + " END"
 
 
 @REG.add(
     "strip_verb",
     CAPTION_SQL
-    + r""", f AS (SELECT doc_id, bin, trim(phrase) AS p, lower(trim(phrase)) AS l FROM ev)
-SELECT doc_id, bin, CASE WHEN l = 'never' THEN '' WHEN starts_with(l, 'never ') THEN trim(p[7:]) WHEN starts_with(l, 'use ') THEN trim(p[5:]) WHEN starts_with(l, 'keep ') THEN trim(p[6:]) ELSE p END AS complement FROM f""",
+    + f""", n AS (SELECT doc_id, bin, list_contains(['{"', '".join(_LEMMAS)}'], string_split(lower(trim(phrase)), ' ')[1]) AS own, trim(phrase) AS p FROM ev
+), f AS (SELECT doc_id, bin, v.i AS v, v.w || ' ' || p AS p, v.w || ' ' || lower(p) AS l FROM n, (SELECT i, w FROM (VALUES {", ".join(f"({i}, '{x}')" for i, k in enumerate(_LEMMAS) for x in (*T.SUBJECT_VERBS[k], k))}) t(i, w)) v WHERE (n.doc_id + n.bin) % {len(_LEMMAS)} = v.i)
+SELECT doc_id, bin, v, {_STRIP} AS complement FROM f""",
 )
 def strip_verb(spark: SparkSession, where: str) -> DataFrame:
-    """The complement, without one of three verb forms in front."""
+    """Sentences with a verb of the vocabulary put in front, in each of its forms, and taken off again; verbs in turn."""
     e = events(spark, where)
-    return e.select("doc_id", "bin", T.strip_verb(F.col("phrase"), F.lit("never"), F.lit("use"), F.lit("keep")).alias("complement"))
+    v = F.pmod(F.col("doc_id") + F.col("bin"), F.lit(len(_LEMMAS))).cast("int")
+    forms = F.array(*[F.array(*[F.lit(x) for x in (*T.SUBJECT_VERBS[k], k)]) for k in _LEMMAS])
+    x = e.select("doc_id", "bin", v.alias("v"), F.trim("phrase").alias("p"), F.explode(F.element_at(forms, v + 1)).alias("w"))
+    lemma = F.element_at(F.array(*[F.lit(k) for k in _LEMMAS]), F.col("v") + 1)
+    return x.select("doc_id", "bin", "v", T.complement(F.concat_ws(" ", "w", "p"), lemma, F.lit("subject")).alias("complement"))
 
 
-@REG.add("canonical_newlines", r"SELECT doc_id, length(regexp_replace(trim(text), '\r\n|\r|\n', chr(13) || chr(10), 'g')) AS n FROM documents WHERE text IS NOT NULL")
+@REG.add("canonical_newlines", r"SELECT doc_id, regexp_replace(trim(text), '\r\n|\r|\n', chr(13) || chr(10), 'g') AS text FROM documents WHERE trim(text) <> ''")
 def canonical_newlines(spark: SparkSession, where: str) -> DataFrame:
-    return table(spark, where, "documents").filter("text IS NOT NULL").select("doc_id", F.length(T.crlf(F.col("text"))).cast("long").alias("n"))
+    """Texts as they go to disk, with one kind of line end."""
+    return table(spark, where, "documents").filter("trim(text) <> ''").select("doc_id", T.crlf(F.col("text")).alias("text"))
 
 
 @REG.add("json_extract", "SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
