@@ -11,20 +11,31 @@ def fov_x(fx: Column) -> Column:
     return F.when((fx > 0) & ~F.isnan(fx), F.degrees(2 * F.atan(1 / (2 * fx))))
 
 
-def focal_of_fov(width: Column, fov: Column) -> Column:
-    return width / 2 / F.tan(F.radians(fov) / 2)
+def of_fov(width: Column, height: Column, fov: Column) -> Column:
+    """3 x 3 intrinsics of an image size and a horizontal field of view in degrees."""
+    focal = width / 2 / F.tan(F.radians(fov) / 2)
+    return matrix(focal, focal, width / 2, height / 2)
 
 
-def intrinsics(model: Column, width: Column, height: Column, params: Column) -> Column:
-    """3 x 3 intrinsics of the camera models with one or two focal lengths; null for others."""
+def matrix(fx: Column, fy: Column, cx: Column, cy: Column) -> Column:
+    zero, d = F.lit(0.0), lambda x: x.cast("double")
+    return F.array(F.array(d(fx), zero, d(cx)), F.array(zero, d(fy), d(cy)), F.array(zero, zero, F.lit(1.0)))
+
+
+# Camera models with one focal length for both axes, and with two.
+ONE_FOCAL = ("SIMPLE_PINHOLE", "SIMPLE_RADIAL", "SIMPLE_RADIAL_FISHEYE", "RADIAL", "RADIAL_FISHEYE")
+TWO_FOCALS = ("PINHOLE", "OPENCV", "OPENCV_FISHEYE", "FULL_OPENCV", "FOV", "THIN_PRISM_FISHEYE")
+
+
+def intrinsics(model: Column, params: Column) -> Column:
+    """3 x 3 intrinsics of a camera model; distortion is dropped, a model in neither list is refused."""
     p = lambda k: F.get(params, F.lit(k)).cast("double")
-    one, two = model.isin("SIMPLE_PINHOLE", "SIMPLE_RADIAL"), model.isin("PINHOLE", "OPENCV", "RADIAL_FISHEYE")
-    m = lambda fx, fy, cx, cy: F.array(F.array(fx, F.lit(0.0), cx), F.array(F.lit(0.0), fy, cy), F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0)))
-    return F.when(one, m(p(0), p(0), p(1), p(2))).when(two, m(p(0), p(1), p(2), p(3)))
+    refused = F.raise_error(F.concat(F.lit("unsupported camera model: "), F.coalesce(model, F.lit("-")))).cast("array<array<double>>")
+    return F.when(model.isin(*ONE_FOCAL), matrix(p(0), p(0), p(1), p(2))).when(model.isin(*TWO_FOCALS), matrix(p(0), p(1), p(2), p(3))).otherwise(refused)
 
 
 def rotation(w: Column, x: Column, y: Column, z: Column) -> Column:
-    """The rotation of a quaternion, brought to length one; null for length zero."""
+    """The rotation of a quaternion, brought to length one; length zero is refused, null stays null."""
     n = F.sqrt(w * w + x * x + y * y + z * z)
     a, b, c, d = (F.try_divide(v, n) for v in (w, x, y, z))
     rows = (
@@ -32,7 +43,22 @@ def rotation(w: Column, x: Column, y: Column, z: Column) -> Column:
         (2 * (b * c + a * d), 1 - 2 * (b * b + d * d), 2 * (c * d - a * b)),
         (2 * (b * d - a * c), 2 * (c * d + a * b), 1 - 2 * (b * b + c * c)),
     )
-    return F.when(n > 0, F.array(*[F.array(*r) for r in rows]))
+    refused = F.raise_error(F.lit("a quaternion of length zero")).cast("array<array<double>>")
+    return F.when(n > 0, F.array(*[F.array(*r) for r in rows])).when(n == 0, refused)
+
+
+def to_camera(pose: Column) -> Column:
+    """4 x 4 world-to-camera matrix of a camera-to-world pose: rotation transposed, translation turned back."""
+    at = lambda i, j: pose[i][j]
+    rows = [F.array(*[at(j, i) for j in range(3)], -(at(0, i) * at(0, 3) + at(1, i) * at(1, 3) + at(2, i) * at(2, 3))) for i in range(3)]
+    return F.array(*rows, F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]))
+
+
+def relative(one: Column, other: Column) -> Column:
+    """4 x 4 matrix that takes a point in the first camera to the second, of camera-to-world poses."""
+    # the inverse is worked out once, as the one element of an array
+    product = lambda back: F.array(*[F.array(*[sum((back[i][k] * one[k][j] for k in range(1, 4)), back[i][0] * one[0][j]) for j in range(4)]) for i in range(4)])
+    return F.transform(F.array(to_camera(other)), product)[0]
 
 
 def centre(rot: Column, t: Column) -> Column:

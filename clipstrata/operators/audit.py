@@ -104,3 +104,10 @@ def camera_scale(predicted: DataFrame, true: DataFrame, key: str, frame: str, *,
         key, F.coalesce("pairs", F.lit(0)).alias("pairs"), F.when(enough, F.col("scale")).otherwise(1.0).alias("scale"), F.when(enough, F.col("dispersion")).alias("dispersion"),
         (enough & F.coalesce(F.col("dispersion") <= dispersion, F.lit(False))).alias("solved"),
     )
+
+
+def baseline(positions: DataFrame, key: str) -> DataFrame:
+    """(key, extent): the median distance of a camera's places (x, y, z) from their middle; whether it moved enough."""
+    m = positions.groupBy(key).agg(*[F.avg(c).alias(f"_{c}") for c in "xyz"])
+    far = F.sqrt(sum(((F.col(c) - F.col(f"_{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
+    return positions.join(m, key).groupBy(key).agg(F.percentile(far, 0.5).alias("extent"))

@@ -19,12 +19,76 @@ from pyspark.sql import functions as F
 from clipstrata.functions import camera
 
 
-def videos(spark: SparkSession, root: str, *, suffixes: tuple[str, ...] = ("mp4", "mov", "mkv", "webm", "avi")) -> DataFrame:
-    """(path, sample_id, bytes): the videos under a folder. One named ``video`` is named after its folder."""
+VIDEO_SUFFIXES = ("mp4", "mov", "mkv", "webm", "avi")
+
+
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Writes one small file in one step: readers see all of it or nothing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(path + ".partial")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(part, True)
+    out.write(bytearray(content))
+    out.close()
+    if fs.exists(at):
+        fs.delete(at, False)
+    fs.rename(part, at)
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """(path, bytes) of all files under a folder, paths relative to it."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    f = f.filter(F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).isin(*suffixes))
+    inner = F.concat(F.regexp_replace(F.lit(root), "^file:/*", "/"), F.lit("/"))
+    bare = F.regexp_replace("path", "^file:/*", "/")
+    return f.select(F.when(bare.startswith(inner), F.substring(bare, F.length(inner) + 1, F.length(bare))).otherwise(F.col("path")).alias("path"), F.col("length").alias("bytes"))
+
+
+def videos(spark: SparkSession, roots: list[str], *, recursive: bool = True, suffixes: tuple[str, ...] = VIDEO_SUFFIXES) -> DataFrame:
+    """(path, sample_id, bytes): the videos that are named or lie in named folders, each once. One named ``video`` is named
+    after its folder. A path that doesn't exist, or a folder without videos, is an error."""
+    f = None
+    for root in roots:
+        one = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root).select("path", "length")
+        one = one.filter(F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).isin(*suffixes))
+        if one.isEmpty():
+            raise FileNotFoundError(f"no {'/'.join(suffixes)} files {'under' if recursive else 'in'} {root}")
+        f = one if f is None else f.unionByName(one)
     stem, parent = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    return f.select("path", F.when(stem == "video", parent).otherwise(stem).alias("sample_id"), F.col("length").alias("bytes"))
+    return f.select("path", F.when(stem == "video", parent).otherwise(stem).alias("sample_id"), F.col("length").alias("bytes")).distinct()
+
+
+def clips(files: DataFrame) -> DataFrame:
+    """(clip, nested): the folders of a listing that are clips, by their report or by the target one level down."""
+    f = files.select(F.regexp_extract("path", r"^(.*?)/?(clip_report\.json|minimax_h3/output\.mp4)$", 1).alias("clip"), F.col("path").endswith("clip_report.json").alias("_r"), F.col("path").rlike(r"(^|/)(clip_report\.json|minimax_h3/output\.mp4)$").alias("_ok"))
+    return f.filter("_ok").groupBy("clip").agg((~F.bool_or("_r")).alias("nested"))
+
+
+# Where the target of a segment may lie, first come first served.
+TARGETS = ("rgb.mp4", "target/rgb.mp4")
+
+
+def segments(files: DataFrame, *, targets: tuple[str, ...] = TARGETS) -> DataFrame:
+    """(name, frames, target, prompted) of the folders of a listing that hold frames in ``duv``: the target is the first of
+    the candidates that isn't empty, null if there is none."""
+    top, rest = F.regexp_extract("path", r"^([^/]+)/", 1), F.regexp_extract("path", r"^[^/]+/(.*)$", 1)
+    f = files.select(top.alias("name"), rest.alias("_f"), "bytes").filter("name <> ''")
+    rank = F.array_position(F.array(*[F.lit(t) for t in targets]), F.col("_f"))
+    best = F.min(F.when((rank > 0) & (F.col("bytes") > 0), F.struct(rank.alias("r"), F.col("_f").alias("f"))))
+    out = f.groupBy("name").agg(F.count_if(F.col("_f").startswith("duv/")).alias("frames"), best.alias("_t"), F.bool_or((F.col("_f") == "prompt.txt") & (F.col("bytes") > 0)).alias("prompted"))
+    return out.filter("frames > 0").select("name", "frames", F.col("_t.f").alias("target"), "prompted")
+
+
+def manifest(spark: SparkSession, root: str, prompts: DataFrame | None = None, *, targets: tuple[str, ...] = TARGETS) -> DataFrame:
+    """(name, id, target, proxy_duv, prompt): an entry for each finished segment under a folder. A prompt that is handed in
+    wins over the one in the segment's ``prompt.txt``, whose bytes are kept as they are; without either it is null."""
+    s = segments(listing(spark, root), targets=targets).filter("target IS NOT NULL")
+    beside = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "prompt.txt").load(root)
+    beside = beside.select(F.regexp_extract("path", r"([^/]+)/prompt\.txt$", 1).alias("name"), F.decode("content", "UTF-8").alias("_own")).filter("_own <> ''")
+    s = s.join(beside, "name", "left")
+    if prompts is not None:
+        s = s.join(prompts.select("name", F.col("prompt").alias("_given")), "name", "left").withColumn("_own", F.coalesce("_given", "_own"))
+    path = lambda f: F.concat_ws("/", "name", f)
+    return s.select("name", F.col("name").alias("id"), path(F.col("target")).alias("target"), path(F.lit("duv")).alias("proxy_duv"), F.col("_own").alias("prompt"))
 
 
 def _fields(spark: SparkSession, path: str, least: int) -> DataFrame:
@@ -42,12 +106,16 @@ def sparse_cameras(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sparse_images(spark: SparkSession, path: str) -> DataFrame:
-    """(name, camera_id, rotation, t, position) of the registered images. The lines of points between them are skipped: a
-    pose line has ten fields of which the last isn't a number."""
+    """(name, camera_id, rotation, t, position) of the registered images, whatever their names. The lines of points between
+    them are skipped: they hold numbers alone, three for each point, where a pose line has a name."""
     f = F.col("f")
-    poses = _fields(spark, path, 10).filter(F.try_to_number(f[9], F.lit("999999999999")).isNull() & (F.size(f) == 10))
-    q, t = [f[k].cast("double") for k in range(1, 5)], F.array(*[f[k].cast("double") for k in range(5, 8)])
-    rows = poses.select(f[9].alias("name"), f[8].cast("int").alias("camera_id"), camera.rotation(*q).alias("rotation"), t.alias("t"))
+    number = lambda x: x.try_cast("double").isNotNull()
+    is_pose = F.forall(F.slice(f, F.lit(2), F.lit(7)), number) & F.get(f, F.lit(8)).try_cast("int").isNotNull()
+    points = (F.size(f) % 3 == 0) & F.forall(f, number)
+    poses = _fields(spark, path, 10).filter(F.coalesce(is_pose, F.lit(False)) & ~points)
+    at = lambda k: F.get(f, F.lit(k))
+    q, t = [at(k).cast("double") for k in range(1, 5)], F.array(*[at(k).cast("double") for k in range(5, 8)])
+    rows = poses.select(at(9).alias("name"), at(8).cast("int").alias("camera_id"), camera.rotation(*q).alias("rotation"), t.alias("t"))
     return rows.withColumn("position", camera.centre(F.col("rotation"), F.col("t")))
 
 
@@ -57,35 +125,63 @@ def sparse_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def camera_track(spark: SparkSession, cameras: str, images: str) -> DataFrame:
-    """(ordinal, name, intrinsics, rotation, position): images in the order of their names, with their cameras."""
+    """(ordinal, name, frame, intrinsics, rotation, position): images in the order of their names, with their cameras.
+    ``frame`` is the number in the name, -1 without one: frames that didn't register are absent. Never metric."""
     from pyspark.sql import Window
 
     c = sparse_cameras(spark, cameras)
-    c = c.select("camera_id", camera.intrinsics(F.col("model"), F.col("width"), F.col("height"), F.col("params")).alias("intrinsics"))
+    c = c.select("camera_id", camera.intrinsics(F.col("model"), F.col("params")).alias("intrinsics"))
     x = sparse_images(spark, images).join(c, "camera_id")
     one = F.row_number().over(Window.orderBy("name")) - 1  # one track: the images of one episode
-    return x.select(one.alias("ordinal"), "name", "intrinsics", "rotation", "position")
-
-
-def tracks_npz(spark: SparkSession, path: str) -> DataFrame:
-    """(path, ordinal, cam2world, metric) from archives with the arrays cam2world and, optionally, metric."""
+    digits = F.regexp_replace(F.regexp_replace("name", r"\.[^.]*$", ""), r"\D", "")
+    return x.select(one.alias("ordinal"), "name", F.when(digits == "", -1).otherwise(digits.cast("long")).alias("frame"), "intrinsics", "rotation", "position")
+
+
+TRACK = "path string, ordinal int, pose array<array<double>>, intrinsics array<array<double>>, metric boolean"
+
+
+def _track(path: str, content: bytes) -> pd.DataFrame:
+    """Camera-to-world poses with intrinsics of one file, by the layout it has."""
+    square = lambda fx, fy, cx, cy: [[fx, 0.0, cx], [0.0, fy, cy], [0.0, 0.0, 1.0]]
+    if path.endswith(".npz"):
+        with np.load(io.BytesIO(content)) as z:
+            if "c2w" in z:  # solved from a sparse model: no metric scale
+                poses, k, metric = z["c2w"], square(*map(float, z["intrinsics"][:4])), False
+            else:
+                lacking = {"cam2world", "intrinsics"} - set(z.files)
+                if lacking:
+                    raise KeyError(f"{path} is missing arrays: {sorted(lacking)}")
+                poses, k, metric = z["cam2world"], np.asarray(z["intrinsics"], float).tolist(), bool(z["metric"]) if "metric" in z else True
+    elif path.endswith(".json"):
+        j = json.loads(content)
+        k = j["intrinsics"]
+        if isinstance(k, dict) and "fx" in k:
+            if k.get("model") not in (None, "PINHOLE", "SIMPLE_PINHOLE"):
+                raise ValueError(f"{path}: unsupported camera model {k['model']!r}")
+            poses, k, metric = [f["c2w"] for f in j["frames"]], square(*[float(k[c]) for c in ("fx", "fy", "cx", "cy")]), False
+        else:
+            if isinstance(k, dict):
+                focal = k["width"] / 2 / np.tan(np.deg2rad(k["hfov_deg"]) / 2)
+                k = square(focal, focal, k["width"] / 2, k["height"] / 2)
+            poses, metric = [f["cam2world"] for f in j["frames"]], bool(j.get("metric", True))
+    else:
+        raise ValueError(f"unsupported camera track format: {path}")
+    poses, each = np.asarray(poses, float), np.asarray(k, float)
+    if poses.ndim != 3 or poses.shape[1:] != (4, 4) or each.shape not in {(3, 3), (len(poses), 3, 3)}:
+        raise ValueError(f"{path}: poses {poses.shape} with intrinsics {each.shape}")
+    own = each if each.ndim == 3 else np.broadcast_to(each, (len(poses), 3, 3))
+    return pd.DataFrame({"path": path, "ordinal": range(len(poses)), "pose": poses.tolist(), "intrinsics": own.tolist(), "metric": metric})
+
+
+def tracks(spark: SparkSession, path: str) -> DataFrame:
+    """(path, ordinal, pose, intrinsics, metric) of camera tracks in any of the known layouts, one file at a time."""
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for p, content in zip(part["path"], part["content"]):
-                with np.load(io.BytesIO(content)) as z:
-                    m, metric = z["cam2world"].astype(float), bool(z["metric"]) if "metric" in z else False
-                yield pd.DataFrame({"path": p, "ordinal": range(len(m)), "cam2world": [x.ravel().tolist() for x in m], "metric": metric})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(read, "path string, ordinal int, cam2world array<double>, metric boolean")
+                yield _track(p, content)
 
-
-def tracks_json(spark: SparkSession, path: str) -> DataFrame:
-    """(path, ordinal, cam2world, fov) from JSON with frames[].cam2world, and a field of view or a matrix as intrinsics."""
-    schema = "intrinsics struct<width:int,height:int,hfov_deg:double>, metric boolean, frames array<struct<cam2world:array<array<double>>>>"
-    j = spark.read.schema(schema).option("multiLine", "true").json(path).withColumn("path", F.input_file_name())
-    return j.select("path", F.posexplode("frames").alias("ordinal", "f"), "intrinsics.hfov_deg").select("path", "ordinal", F.col("f.cam2world").alias("cam2world"), F.col("hfov_deg").alias("fov"))
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, TRACK)
 
 
 def tar_members(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -115,6 +211,23 @@ def actions(members: DataFrame) -> DataFrame:
     return members.select("path", F.posexplode(listed).alias("ordinal", "a")).select("path", "ordinal", F.to_json("a").alias("action"))
 
 
+def captions_of(members: DataFrame) -> DataFrame:
+    """(path, caption) of JSON members that hold an object, as text."""
+    v = F.try_parse_json(F.decode("content", "UTF-8"))
+    return members.select("path", F.to_json(v).alias("caption")).filter(F.schema_of_variant(v).startswith("OBJECT"))
+
+
+def sliced_actions(actions_: DataFrame, window: DataFrame) -> DataFrame:
+    """(path, k, action): the actions of a window's frames, in its order; frames beyond the actions are left out.
+    ``window``: (path, k, ordinal)."""
+    return window.join(actions_, ["path", "ordinal"]).select("path", "k", "action")
+
+
+def sliced_track(track: DataFrame, window: DataFrame) -> DataFrame:
+    """The poses of a window's frames that are registered, with ``k``. ``window``: (k, ordinal)."""
+    return track.join(window.select("k", F.col("ordinal").alias("frame")), "frame")
+
+
 def write_manifest(entries: DataFrame, path: str, order: str) -> None:
     """One JSON object a line, in order, in one file; nulls are left out. For manifests, which are small."""
     entries.orderBy(order).coalesce(1).write.mode("overwrite").json(path)
@@ -127,10 +240,6 @@ def write_frames(px: DataFrame, path: str) -> None:
     checked.repartition("seg").write.mode("overwrite").partitionBy("seg").parquet(path)
 
 
-def parse_report(text: str) -> dict | None:
-    """A small JSON file that may be missing or broken: None then."""
-    try:
-        got = json.loads(text)
-    except (TypeError, ValueError):
-        return None
-    return got if isinstance(got, dict) else None
+def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The entries of a manifest; a line that isn't one is refused."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -168,14 +168,18 @@ def test_readers(spark, tmp_path):
             tar.addfile(info, io.BytesIO(raw))
     m = readers.tar_members(spark, f"{tmp_path}/x.tar", ["action.json"])
     assert [r.action for r in readers.actions(m).orderBy("ordinal").collect()] == ['{"k":1}', '{"k":2}']
-    np.savez(tmp_path / "t.npz", cam2world=np.stack([np.eye(4)] * 2), metric=True)
-    assert readers.tracks_npz(spark, f"{tmp_path}/t.npz").count() == 2
+    np.savez(tmp_path / "t.npz", cam2world=np.stack([np.eye(4)] * 2))
+    with pytest.raises(Exception, match="missing arrays"):
+        readers.tracks(spark, f"{tmp_path}/t.npz").collect()
     (tmp_path / "t.json").write_text(json.dumps({"intrinsics": {"width": 4, "height": 4, "hfov_deg": 60.0}, "frames": [{"cam2world": [[1.0]]}]}))
-    assert readers.tracks_json(spark, f"{tmp_path}/t.json").first().fov == 60.0
+    with pytest.raises(Exception, match="poses"):
+        readers.tracks(spark, f"{tmp_path}/t.json").collect()
     (tmp_path / "v" / "take_1").mkdir(parents=True)
     (tmp_path / "v" / "take_1" / "video.mp4").write_bytes(b"1")
     (tmp_path / "v" / "other.mov").write_bytes(b"12")
-    assert sorted(r.sample_id for r in readers.videos(spark, f"{tmp_path}/v").collect()) == ["other", "take_1"]
+    assert sorted(r.sample_id for r in readers.videos(spark, [f"{tmp_path}/v"]).collect()) == ["other", "take_1"]
+    with pytest.raises(FileNotFoundError):
+        readers.videos(spark, [f"{tmp_path}/v"], suffixes=("avi",))
     px = spark.createDataFrame([(1, 0, 0, 0, 1.0, 3)], "seg long, ordinal int, r int, c int, depth double, cls int")
     out = new_folder(spark, "px")
     readers.write_frames(px, out)
