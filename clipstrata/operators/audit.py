@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstrata.functions.encode import FAR, NEAR, VALID
+from clipstrata.operators.ranges import quantiles
 
 SKY = 1
 
@@ -23,33 +24,40 @@ def segment_audit(px: DataFrame, *, stride: int = 8, window: int = 124) -> DataF
     sky = F.col("cls") == SKY
     n, valid = F.count("*"), F.count_if(F.col("_v"))
     share = lambda a, b: F.round(a / F.greatest(b, F.lit(1)), 6)
-    frames_ = F.count_distinct("ordinal")
-    return p.groupBy("seg").agg(
+    # what a frame holds first, then what its segment does: a segment meets in one task as one row a frame
+    f = p.groupBy("seg", "ordinal").agg(
+        n.alias("n"), valid.alias("v"), F.count_if(F.col("_v") & (F.col("depth") < NEAR)).alias("near"), F.count_if(F.col("_v") & (F.col("depth") > FAR)).alias("far"),
+        F.count_if(sky).alias("sky"), F.count_if(sky & F.col("_v")).alias("sky_v"), F.collect_set(F.col("cls").cast("int")).alias("classes"),
+    )
+    frames_, t = F.count("*"), lambda c: F.sum(c)
+    stats = f.groupBy("seg").agg(
         frames_.alias("frames"),
         ((frames_ == F.max("ordinal") + 1) & (F.min("ordinal") == 0) & (frames_ >= window)).alias("complete"),
-        share(valid, n).alias("valid_fraction"),
-        *[F.round(F.percentile(sample, q), 4).alias(f"metres_p{int(q * 100)}") for q in (0.01, 0.5, 0.99)],
-        share(F.count_if(F.col("_v") & (F.col("depth") < NEAR)), valid).alias("below_near_fraction"),
-        share(F.count_if(F.col("_v") & (F.col("depth") > FAR)), valid).alias("above_far_fraction"),
-        share(F.count_if(sky), n).alias("sky_fraction"),
-        share(F.count_if(sky & F.col("_v")), F.count_if(sky)).alias("sky_depth_valid_fraction"),
-        F.array_sort(F.collect_set(F.col("cls").cast("int"))).alias("classes_present"),
+        share(t("v"), t("n")).alias("valid_fraction"), share(t("near"), t("v")).alias("below_near_fraction"), share(t("far"), t("v")).alias("above_far_fraction"),
+        share(t("sky"), t("n")).alias("sky_fraction"), share(t("sky_v"), t("sky")).alias("sky_depth_valid_fraction"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("classes")))).alias("classes_present"),
+    )
+    q = quantiles(p.filter(F.col("_v")), ["seg"], sample, {"metres_p1": 0.01, "metres_p50": 0.5, "metres_p99": 0.99})
+    out = stats.join(q.select("seg", *[F.round(c, 4).alias(c) for c in ("metres_p1", "metres_p50", "metres_p99")]), "seg", "left")
+    return out.select(
+        "seg", "frames", "complete", "valid_fraction", "metres_p1", "metres_p50", "metres_p99", "below_near_fraction", "above_far_fraction", "sky_fraction", "sky_depth_valid_fraction", "classes_present"
     )
 
 
 def corpus_audit(stats: DataFrame, *, spread_limit: float = 10.0) -> DataFrame:
     """One row: the spread of the segments' median depths, and how many segments call for a look, by reason.
 
-    The medians' percentiles are exact. Counts of distinct medians are what meets in one task, not segments' rows.
+    The medians' percentiles are exact. No task sees all segments.
     """
     p50 = F.when(F.col("metres_p50") > 0, F.col("metres_p50"))
-    low, high = F.percentile(p50, 0.1), F.percentile(p50, 0.9)
-    spread = F.round(high / F.greatest(low, F.lit(1e-9)), 3)
-    return stats.agg(
-        F.count("*").alias("segments"), F.round(low, 4).alias("p10"), F.round(high, 4).alias("p90"), spread.alias("median_spread"), (spread > spread_limit).alias("too_far_apart"),
-        F.count_if(F.col("sky_depth_valid_fraction") > 0).alias("sky_with_depth"), F.count_if(F.col("valid_fraction") <= 0.01).alias("empty"),
-        F.count_if(~F.array_contains("classes_present", SKY)).alias("without_sky"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("classes_present")))).alias("classes"),
+    q = quantiles(stats, [], p50, {"low": 0.1, "high": 0.9}).agg(F.max("low").alias("low"), F.max("high").alias("high"))  # one row, with or without values
+    spread = F.round(F.col("high") / F.greatest(F.col("low"), F.lit(1e-9)), 3)
+    all_ = stats.agg(
+        F.count("*").alias("segments"), F.count_if(F.col("sky_depth_valid_fraction") > 0).alias("sky_with_depth"), F.count_if(F.col("valid_fraction") <= 0.01).alias("empty"),
+        F.count_if(~F.array_contains("classes_present", SKY)).alias("without_sky"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("classes_present")))).alias("classes"),
+    )
+    return all_.crossJoin(F.broadcast(q)).select(
+        "segments", F.round("low", 4).alias("p10"), F.round("high", 4).alias("p90"), spread.alias("median_spread"), (spread > spread_limit).alias("too_far_apart"), "sky_with_depth", "empty", "without_sky", "classes"
     )
 
 
@@ -70,10 +78,13 @@ def range_guard(df: DataFrame, keys: list[str], depth: str, near: float, far: fl
     d = F.col(depth)
     ok = F.coalesce(~F.isnan(d) & (d > 0) & (d < float("inf")), F.lit(False))
     n = F.greatest(F.count_if(ok), F.lit(1))
-    return df.groupBy(*keys).agg(
-        F.round(F.count_if(ok & (d < near)) / n, 6).alias("clipped_near_fraction"), F.round(F.count_if(ok & (d > far)) / n, 6).alias("clipped_far_fraction"),
-        F.round(F.coalesce(F.percentile(F.when(ok, d), 0.5), F.lit(0.0)), 4).alias("median_metres"),
+    clipped = df.groupBy(*keys).agg(
+        F.round(F.count_if(ok & (d < near)) / n, 6).alias("clipped_near_fraction"), F.round(F.count_if(ok & (d > far)) / n, 6).alias("clipped_far_fraction")
     )
+    mid = quantiles(df, keys, F.when(ok, d), {"_m": 0.5})
+    same = F.expr(" AND ".join(f"l.{k} <=> r.{k}" for k in keys))
+    both = clipped.alias("l").join(mid.alias("r"), same, "left")
+    return both.select(*[F.col(f"l.{k}").alias(k) for k in keys], "clipped_near_fraction", "clipped_far_fraction", F.round(F.coalesce("_m", F.lit(0.0)), 4).alias("median_metres"))
 
 
 def contiguous(df: DataFrame, key: str, ordinal: str) -> DataFrame:

@@ -31,3 +31,25 @@ def numbered(df: DataFrame, by: str, out: str = "i") -> DataFrame:
     """Adds a number from 0 in the order of ``by``, whose values must be distinct for the number to be the same each time."""
     one = running(df, by, {"_nth": F.lit(1).cast("long")})
     return one.select(*df.columns, (F.col("_nth") - 1).alias(out))
+
+
+def quantiles(df: DataFrame, keys: list[str], value: Column, at: dict[str, float]) -> DataFrame:
+    """(*keys, names of ``at``): exact quantiles of each group's values, with a straight line between the two nearest.
+
+    Values that are null or NaN are left out; a group without any, or no group at all, gives no row. Equal values are counted
+    before they move, and the counts are totalled by ranges that cut through groups: a group that holds all rows is no hot task.
+    """
+    key = keys or ["_all"]
+    base = (df if keys else df.withColumn("_all", F.lit(0))).select(*key, value.cast("double").alias("_v"))
+    counts = base.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*key, "_v").agg(F.count("*").alias("_n"))
+    upto = running(counts, "_v", {"_u": F.col("_n")}, within=key)
+    total = upto.groupBy(*key).agg(F.max("_u").alias("_t"))
+    # the totals are one row a group; a group that holds a large part of the rows has its row sent to all tasks
+    big = F.broadcast(total) if total.limit(100_001).count() <= 100_000 else total
+    x = upto.join(big, key)
+    place = lambda q: (F.col("_t") - 1) * F.lit(q)
+    low = lambda q: F.min(F.when(F.col("_u") >= F.floor(place(q)) + 1, F.col("_v")))
+    high = lambda q: F.min(F.when(F.col("_u") >= F.ceil(place(q)) + 1, F.col("_v")))
+    part = lambda q: F.max(place(q) - F.floor(place(q)))
+    out = x.groupBy(*key).agg(*[(low(q) + (high(q) - low(q)) * part(q)).alias(n) for n, q in at.items()])
+    return out.select(*keys, *at)

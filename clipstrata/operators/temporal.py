@@ -106,3 +106,11 @@ def recentred(df: DataFrame, seg: str, value: str, *, limit: float = 0.25, passe
         df = df.withColumn(value, F.when((F.col(f"_m{i}") == 0) | (F.col(f"_f{i}") == 0), x).otherwise(F.greatest(F.least(moved, F.lit(limit)), F.lit(-limit))))
     df = df.withColumn("_mean", F.avg(x).over(all_)).withColumn(value, x - F.col("_mean"))
     return df.drop("_mean", *[f"_{k}{i}" for k in "mfn" for i in range(passes)])
+
+
+def scale_factors(ratios: DataFrame, seg: str, ordinal: str, *, radius: int = 12, limit: float = 0.25) -> DataFrame:
+    """(seg, ordinal, correction): the log factor of each frame that takes its own scale out and leaves the clip's level as it
+    is: of mean zero, within the limit. Clips of fewer than three frames have none (0)."""
+    c = recentred(scale_residual(ratios, seg, ordinal, radius=radius, limit=limit), seg, "correction", limit=limit)
+    n = F.count("*").over(Window.partitionBy(seg))
+    return c.select(seg, ordinal, F.when(n >= 3, F.col("correction")).otherwise(0.0).alias("correction"))

@@ -91,9 +91,12 @@ def cut_grid(grid: DataFrame, clip: str, start: float, stop: float) -> DataFrame
     )
 
 
-def to_bins(frames: DataFrame, grid: DataFrame, clip: str, ordinal: str) -> DataFrame:
-    """Every frame with the bin that holds it. Bins of a clip don't overlap, so the join keys on the clip and the bin is
-    found in the clip's sorted list of bins, one row a clip: no row is compared with every bin."""
-    lists = grid.groupBy(clip).agg(F.sort_array(F.collect_list(F.struct("first_frame", "stop_frame", "bin"))).alias("_bins"))
-    hit = F.filter("_bins", lambda b: (b["first_frame"] <= F.col(ordinal)) & (F.col(ordinal) < b["stop_frame"]))
-    return frames.join(lists, clip).withColumn("bin", F.get(hit, F.lit(0))["bin"]).drop("_bins").filter("bin IS NOT NULL")
+def to_bins(frames: DataFrame, grid: DataFrame, clip: str, ordinal: str, *, block: int = 24) -> DataFrame:
+    """Every frame with the bin that holds it; frames that no bin holds are left out. Bins of a clip don't overlap.
+
+    Frames and bins meet by clip and block of ``block`` frames, so a frame is compared with the few bins that share its
+    block, not with every bin, and a long clip is spread by its blocks."""
+    blocks = F.sequence(F.expr(f"first_frame div {block}"), F.expr(f"(stop_frame - 1) div {block}"))
+    bins = grid.filter("stop_frame > first_frame").select(clip, "bin", F.col("first_frame").alias("_a"), F.col("stop_frame").alias("_b"), F.explode(blocks).alias("_block"))
+    x = frames.withColumn("_block", F.expr(f"`{ordinal}` div {block}")).join(bins, [clip, "_block"])
+    return x.filter((F.col("_a") <= F.col(ordinal)) & (F.col(ordinal) < F.col("_b"))).drop("_block", "_a", "_b")

@@ -193,13 +193,34 @@ def masklet_classes(spark: SparkSession, where: str) -> DataFrame:
 @REG.add(
     "clip_completeness",
     """WITH s AS (SELECT 'seg_' || split_part(seg, '_', 2) AS scene, CAST(split_part(seg, '_', 3) AS INT) AS idx, max(frames) AS frames FROM seg_stats GROUP BY ALL
-), w AS (SELECT scene, idx, count(DISTINCT k) AS held FROM windows GROUP BY ALL)
-SELECT scene, idx, CASE WHEN held IS NULL THEN 'missing' WHEN frames IS NULL THEN 'unknown' WHEN held >= frames THEN 'complete' ELSE 'incomplete' END AS status FROM s LEFT JOIN w USING (scene, idx)""",
+), w AS (SELECT scene, idx, count(*) AS any_, count(DISTINCT k) FILTER (k >= 0 AND k < frames) AS held FROM windows JOIN s USING (scene, idx) GROUP BY ALL)
+SELECT scene, idx, CASE WHEN any_ IS NULL THEN 'missing' WHEN frames IS NULL THEN 'unknown' WHEN held = frames THEN 'complete' ELSE 'incomplete' END AS status FROM s LEFT JOIN w USING (scene, idx)""",
 )
 def clip_completeness(spark: SparkSession, where: str) -> DataFrame:
-    """What is promised against what is there."""
+    """What is promised against what is there: complete is a clip that holds every number from 0 to frames - 1; others don't
+    make up for a hole."""
     seg = F.col("seg")
     s = table(spark, where, "seg_stats").groupBy(clip_scene(seg).alias("scene"), clip_index(seg).alias("idx")).agg(F.max("frames").alias("frames"))
-    w = table(spark, where, "windows").groupBy("scene", "idx").agg(F.count_distinct("k").alias("held"))
-    status = F.when(F.col("held").isNull(), "missing").when(F.col("frames").isNull(), "unknown").when(F.col("held") >= F.col("frames"), "complete").otherwise("incomplete")
+    held = table(spark, where, "windows").select("scene", "idx", "k").distinct().join(s, ["scene", "idx"])
+    w = held.groupBy("scene", "idx").agg(F.count_if((F.col("k") >= 0) & (F.col("k") < F.col("frames"))).alias("held"))
+    status = F.when(F.col("held").isNull(), "missing").when(F.col("frames").isNull(), "unknown").when(F.col("held") == F.col("frames"), "complete").otherwise("incomplete")
     return s.join(w, ["scene", "idx"], "left").select("scene", "idx", status.alias("status"))
+
+
+@REG.add(
+    "complete_through",
+    """WITH n AS (SELECT scene, idx, k, src_file IS NOT NULL AS kept, ordinal IS NOT NULL AS timed FROM windows WHERE k >= 0), s AS (SELECT DISTINCT scene, idx, k, 'file' AS stream FROM n WHERE kept UNION ALL SELECT DISTINCT scene, idx, k, 'ordinal' FROM n WHERE timed
+), i AS (SELECT *, row_number() OVER (PARTITION BY scene, idx, stream ORDER BY k) - 1 AS i FROM s), c AS (SELECT scene, idx, stream, count(*) FILTER (i = k) AS held FROM i GROUP BY ALL
+), a AS (SELECT scene, idx, min(held) AS through, count(*) AS streams FROM c GROUP BY ALL), d AS (SELECT scene, idx, count(*) AS late FROM windows JOIN a USING (scene, idx) WHERE k >= CASE WHEN streams = 2 THEN through ELSE 0 END GROUP BY ALL)
+SELECT scene, idx, CASE WHEN streams = 2 THEN through ELSE 0 END AS through, coalesce(late, 0) AS discarded FROM a LEFT JOIN d USING (scene, idx)""",
+)
+def complete_through(spark: SparkSession, where: str) -> DataFrame:
+    """How far every stream of a clip (its files, its ordinals) has come without a hole, and how many rows a resumed run
+    discards from there."""
+    w = table(spark, where, "windows").select("scene", "idx", "k", "src_file", "ordinal")
+    both = [w.filter(F.col(c).isNotNull()).select("scene", "idx", F.lit(c).alias("stream"), "k") for c in ("src_file", "ordinal")]
+    each = both[0].unionByName(both[1]).withColumn("clip", F.struct("scene", "idx", "stream"))
+    c = audit.contiguous(each, "clip", "k").groupBy("clip.scene", "clip.idx").agg(F.min("prefix").alias("p"), F.count("*").alias("n"))
+    c = c.select("scene", "idx", F.when(F.col("n") == 2, F.col("p")).otherwise(0).alias("through"))
+    late = w.join(c, ["scene", "idx"]).filter(F.col("k") >= F.col("through")).groupBy("scene", "idx").agg(F.count("*").alias("late"))
+    return c.join(late, ["scene", "idx"], "left").select("scene", "idx", "through", F.coalesce("late", F.lit(0)).alias("discarded"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipstrata.functions import text as T
 from clipstrata.operators import gating
+from clipstrata.operators.ranges import numbered
 from clipstrata.queries import Registry
 from clipstrata.session import latest
 from clipstrata.sources.tables import table
@@ -297,17 +298,6 @@ def gate_split(spark: SparkSession, where: str) -> DataFrame:
     return ok.join(e.select("ep", "held"), "ep").select("clip", F.when(F.col("held"), "validation").otherwise("train").alias("split"))
 
 
-def numbered(df: DataFrame, by: str, out: str = "i") -> DataFrame:
-    """Adds a dense number from 0 in the order of distinct values: each range counts alone, offsets are one row a range."""
-    from clipstrata.session import stored
-
-    ranged = stored(df.repartitionByRange(F.col(by)).withColumn("_p", F.spark_partition_id()), "numbered")
-    ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
-    start = ranged.groupBy("_p").agg(F.count("*").alias("_n")).select("_p", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_o"))
-    own = F.row_number().over(Window.partitionBy("_p").orderBy(by)) - 1
-    return ranged.withColumn("_i", own).join(start, "_p").select(*df.columns, (F.col("_i") + F.col("_o")).alias(out))
-
-
 @REG.add(
     "scene_numbering",
     "SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS i FROM (SELECT DISTINCT sample_id FROM episodes WHERE sample_id IS NOT NULL)",

@@ -10,7 +10,7 @@ from clipstrata.functions import text as T
 from clipstrata.operators import audit, grid, temporal
 from clipstrata.queries import Registry
 from clipstrata.queries.captions import CAPTION_SQL, LATEST_QUALITY, events
-from clipstrata.queries.frames import DUV_SQL, duv
+from clipstrata.queries.frames import DUV_SQL, RECENTRE, duv
 from clipstrata.session import latest
 from clipstrata.sources.tables import FRAMES_SQL, PIXELS_SQL, frames, pixels, table
 
@@ -25,13 +25,16 @@ REG = Registry()
 ), q AS (SELECT seg, ordinal, CASE WHEN n >= a * 0.05 AND n > 0 THEN r ELSE 0 END AS ratio FROM m
 ), l AS (SELECT seg, ordinal, sum(ratio) OVER (PARTITION BY seg ORDER BY ordinal ROWS UNBOUNDED PRECEDING) AS level FROM q
 ), t AS (SELECT seg, ordinal, level - coalesce(regr_intercept(level, ordinal) OVER w + ordinal * regr_slope(level, ordinal) OVER w, level) AS res FROM l WINDOW w AS (PARTITION BY seg ORDER BY ordinal ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING)
-), f AS (SELECT seg, ordinal, greatest(least(-(res - avg(res) OVER (PARTITION BY seg)), 0.25), -0.25) AS x FROM t)
+), c AS (SELECT seg AS ep, ordinal, greatest(least(-(res - avg(res) OVER (PARTITION BY seg)), 0.25), -0.25) AS x FROM t)"""
+    + RECENTRE
+    + """, f AS (SELECT ep AS seg, ordinal, CASE WHEN count(*) OVER (PARTITION BY ep) < 3 THEN 0 ELSE x - avg(x) OVER (PARTITION BY ep) END AS x FROM p3)
 SELECT px.seg, px.ordinal, round(sum(depth * exp(x)), 3) AS locked FROM px JOIN f USING (seg, ordinal) GROUP BY px.seg, px.ordinal""",
 )
 def scale_lock(spark: SparkSession, where: str) -> DataFrame:
-    """Planes with each frame's own scale taken out: measured on pixels, kept as one factor a frame, joined back."""
+    """Planes with each frame's own scale taken out: measured on pixels, kept as one factor a frame, brought to mean zero so
+    that the clip's level stays, joined back. Clips of fewer than three frames stay as they are."""
     p = pixels(spark, where)
-    f = temporal.scale_residual(temporal.log_ratios(p, "seg", "ordinal", "depth", ["r", "c"]), "seg", "ordinal").select("seg", "ordinal", "correction")
+    f = temporal.scale_factors(temporal.log_ratios(p, "seg", "ordinal", "depth", ["r", "c"]), "seg", "ordinal")
     return p.join(f, ["seg", "ordinal"]).groupBy("seg", "ordinal").agg(F.round(F.sum(F.col("depth") * F.exp("correction")), 3).alias("locked"))
 
 
@@ -113,13 +116,15 @@ def episode_pipeline(spark: SparkSession, where: str) -> DataFrame:
 
 @REG.add(
     "staircase_roundtrip",
-    "SELECT CAST(i AS INT) AS grey, true AS exact FROM range(256) t(i)",
+    """WITH m AS (SELECT CAST(i AS INT) AS grey, CASE WHEN i > 0 THEN exp(ln(256.0) - i / 255.0 * (ln(256.0) - ln(0.1))) ELSE 0 END AS depth FROM range(256) t(i)
+), q AS (SELECT grey, depth, round_even((ln(256.0) - ln(least(greatest(depth, 0.1), 256.0))) / (ln(256.0) - ln(0.1)) * 65535, 0) AS q FROM m)
+SELECT grey, round(depth, 5) AS metres, CAST(CASE WHEN depth > 1e-3 AND q > 0 THEN greatest(1, round_even(q * 255.0 / 65535.0, 0)) ELSE 0 END AS INT) AS back FROM q""",
 )
 def staircase_roundtrip(spark: SparkSession, where: str) -> DataFrame:
-    """All grey codes to metres and back; the lowest code is the far plane, which the encoding reads as no depth."""
+    """All grey codes to metres and back to codes."""
     g = spark.range(256).select(F.col("id").cast("int").alias("grey"))
-    back = encode.grey8(encode.metres_of_grey8(F.col("grey")))
-    return g.select("grey", (F.abs(back - F.col("grey")) <= F.when(F.col("grey") == 1, 1).otherwise(0)).alias("exact"))
+    metres = encode.metres_of_grey8(F.col("grey"))
+    return g.select("grey", F.round(metres, 5).alias("metres"), encode.grey8(metres).alias("back"))
 
 
 @REG.add(

@@ -136,10 +136,10 @@ def scale_correction(spark: SparkSession, where: str) -> DataFrame:
     return r.select("ep", "ordinal", F.round(F.greatest(F.least(x, F.lit(0.25)), F.lit(-0.25)), 6).alias("correction"))
 
 
-_RECENTRE = ""
+RECENTRE = ""
 for _i in range(4):
     _src = "c" if _i == 0 else f"p{_i - 1}"
-    _RECENTRE += f""", m{_i} AS (SELECT ep, ordinal, x, avg(x) OVER w AS m, sum(CASE WHEN abs(x) < 0.25 THEN 1 ELSE 0 END) OVER w AS f, count(*) OVER w AS n FROM {_src} WINDOW w AS (PARTITION BY ep)
+    RECENTRE += f""", m{_i} AS (SELECT ep, ordinal, x, avg(x) OVER w AS m, sum(CASE WHEN abs(x) < 0.25 THEN 1 ELSE 0 END) OVER w AS f, count(*) OVER w AS n FROM {_src} WINDOW w AS (PARTITION BY ep)
 ), p{_i} AS (SELECT ep, ordinal, CASE WHEN m = 0 OR f = 0 THEN x ELSE greatest(least(CASE WHEN abs(x) < 0.25 THEN x - m * n / greatest(f, 1) ELSE x END, 0.25), -0.25) END AS x FROM m{_i})"""
 
 
@@ -148,7 +148,7 @@ for _i in range(4):
     FRAMES_SQL
     + TREND_SQL
     + ", z AS (SELECT ep, ordinal, y - line AS res FROM t), c AS (SELECT ep, ordinal, greatest(least(-(res - avg(res) OVER (PARTITION BY ep)), 0.25), -0.25) AS x FROM z)"
-    + _RECENTRE
+    + RECENTRE
     + " SELECT ep, count(*) AS n, round(max(abs(exp(x - m) - 1)), 5) AS most FROM (SELECT ep, x, avg(x) OVER (PARTITION BY ep) AS m FROM p3) GROUP BY ep",
 )
 def scale_recentred(spark: SparkSession, where: str) -> DataFrame:
