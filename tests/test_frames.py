@@ -140,7 +140,7 @@ def test_streams_equal_batch_over_restarts(spark, cuts, tmp_path):
     rows = [(e, o, float((o * 7 + e) % 5), (o * o + e) % 3) for e in range(3) for o in range(18)]
     df = spark.createDataFrame(rows, "ep long, ordinal long, depth double, cls int")
     src = f"{tmp_path}/src"
-    for name, stream, mode in (("f", stateful.flicker_stream, "update"), ("m", stateful.median_stream, "append")):
+    for name, stream, mode in (("f", stateful.flicker_stream, "update"), ("m", stateful.steady_stream, "append"), ("g", stateful.guard_stream, "update")):
         for c in range(cuts):
             df.filter(F.expr(f"ordinal div 6 = {c}") if cuts > 1 else F.lit(True)).write.mode("overwrite").parquet(f"{src}-{name}/{c}")
             s = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{src}-{name}")
@@ -148,9 +148,18 @@ def test_streams_equal_batch_over_restarts(spark, cuts, tmp_path):
     f = {r.ep: (r.c, r.d) for r in spark.read.parquet(f"{tmp_path}/f").groupBy("ep").agg(F.max("compared").alias("c"), F.max("changed").alias("d")).collect()}
     want = {r.ep: (r.compared, r.changed) for r in temporal.flicker(df, "ep", "ordinal", "cls").collect()}
     assert f == want
-    m = {(r.ep, r.ordinal): r.median for r in spark.read.parquet(f"{tmp_path}/m").collect()}
-    w = temporal.window_median(F.col("depth"), temporal.ordered("ep", "ordinal"), 2)
-    assert m == {(r.ep, r.ordinal): r.m for r in df.select("ep", "ordinal", w.alias("m")).filter("ordinal < 16").collect()}
+    w = temporal.ordered("ep", "ordinal")
+    batch = df.select("ep", "ordinal", temporal.window_median(F.col("depth"), w, 2).alias("median"), temporal.vote(F.col("cls"), w, 2, 3).alias("voted"))
+    got = lambda: {(r.ep, r.ordinal): (r.median, r.voted) for r in spark.read.parquet(f"{tmp_path}/m").collect()}
+    assert got() == {(r.ep, r.ordinal): (r.median, r.voted) for r in batch.filter("ordinal < 16").collect()}
+    # the end of an episode releases what waits for neighbours
+    spark.createDataFrame([(e, None, None, None) for e in range(3)], df.schema).write.parquet(f"{src}-m/end")
+    s = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{src}-m")
+    stateful.run_to_table(stateful.steady_stream(s), f"{tmp_path}/m", f"{tmp_path}/m-state", "append")
+    assert got() == {(r.ep, r.ordinal): (r.median, r.voted) for r in batch.collect()}
+    g = {r.ep: r.x for r in spark.read.parquet(f"{tmp_path}/g").groupBy("ep").agg(F.max(F.struct("valid", "median")).alias("x")).collect()}
+    want = {r.ep: (r.n, r.m) for r in df.filter("depth > 0").groupBy("ep").agg(F.count("*").alias("n"), F.percentile("depth", 0.5).alias("m")).collect()}
+    assert {e: tuple(x) for e, x in g.items()} == want
 
 
 def test_readers(spark, tmp_path):
