@@ -97,6 +97,8 @@ def to_bins(frames: DataFrame, grid: DataFrame, clip: str, ordinal: str, *, bloc
     Frames and bins meet by clip and block of ``block`` frames, so a frame is compared with the few bins that share its
     block, not with every bin, and a long clip is spread by its blocks."""
     blocks = F.sequence(F.expr(f"first_frame div {block}"), F.expr(f"(stop_frame - 1) div {block}"))
-    bins = grid.filter("stop_frame > first_frame").select(clip, "bin", F.col("first_frame").alias("_a"), F.col("stop_frame").alias("_b"), F.explode(blocks).alias("_block"))
-    x = frames.withColumn("_block", F.expr(f"`{ordinal}` div {block}")).join(bins, [clip, "_block"])
-    return x.filter((F.col("_a") <= F.col(ordinal)) & (F.col(ordinal) < F.col("_b"))).drop("_block", "_a", "_b")
+    bins = grid.filter("stop_frame > first_frame").select(F.col(clip).alias("_c"), "bin", "first_frame", "stop_frame", F.explode(blocks).alias("_block"))
+    rows = frames.select(F.col(clip).alias("_c"), F.expr(f"`{ordinal}` div {block}").alias("_block"), F.struct(*[F.col(f"`{c}`") for c in frames.columns]).alias("_row"))
+    at = F.col("_row")[ordinal]
+    met = rows.join(bins, ["_c", "_block"]).filter((F.col("first_frame") <= at) & (at < F.col("stop_frame")))
+    return met.select(*[F.col("_row")[c].alias(c) for c in frames.columns if c != "bin"], "bin")
