@@ -109,3 +109,21 @@ def duv_group(red: Column, green: Column, blue: Column) -> Column:
 def metres_of_duv(red: Column) -> Column:
     """Null, not NaN, for the sentinel."""
     return F.when(red < DUV_SKY, F.lit(DUV_NEAR) * F.pow(F.lit(DUV_FAR / DUV_NEAR), red / F.lit(float(DUV_TOP))))
+
+
+def to_twelve(ids: Column, taxonomy: str) -> Column:
+    """Labels of a known scheme as the twelve classes; labels that are out of range, and schemes without a table, are refused."""
+    if taxonomy == "cwm12":
+        refused = F.raise_error(F.concat(F.lit("labels declared cwm12 contain id "), ids, F.lit(f", outside [0, {len(CLASSES)})"))).cast("int")
+        return F.when(ids >= len(CLASSES), refused).otherwise(ids)
+    if taxonomy == "standard11":
+        return lookup(ids, ELEVEN_TO_TWELVE)
+    raise ValueError(f"no table takes {taxonomy!r} to the twelve classes")
+
+
+def class_table(names: list[str], to: dict[str, int], default: int | None = None) -> list[int]:
+    """The class of each name; a name that ``to`` lacks takes the default, and without one is refused."""
+    lacking = [n for n in names if n not in to]
+    if lacking and default is None:
+        raise KeyError(f"no class for: {', '.join(lacking)}")
+    return [to.get(n, default) for n in names]

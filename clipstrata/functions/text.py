@@ -117,7 +117,32 @@ def synonyms(label: Column) -> Column:
     return F.filter(F.transform(F.split(F.lower(label), "[;,]"), clean), lambda s: s != "")
 
 
-def api_url(base: Column) -> Column:
-    """The endpoint of a host, a versioned path or a full address."""
+def api_url(base: Column, path: str = "chat/completions") -> Column:
+    """The endpoint of a host, its first version's root, or a full address."""
     b = F.regexp_replace(base, "/+$", "")
-    return F.when(b.endswith("/chat/completions"), b).when(b.rlike(r"/v\d+$"), F.concat(b, F.lit("/chat/completions"))).otherwise(F.concat(b, F.lit("/v1/chat/completions")))
+    return F.when(b.endswith("/" + path), b).when(b.endswith("/v1"), F.concat(b, F.lit("/" + path))).otherwise(F.concat(b, F.lit("/v1/" + path)))
+
+
+# Answers after which a call is made again, and the kinds of files by suffix.
+RETRYABLE = (408, 409, 425, 429, 500, 502, 503, 504)
+MIMES = {
+    "jpg": "image/jpeg", "jpeg": "image/jpeg", "mp4": "video/mp4", "png": "image/png", "gif": "image/gif", "webp": "image/webp", "bmp": "image/bmp", "mov": "video/quicktime", "webm": "video/webm", "avi": "video/x-msvideo",
+    "mkv": "video/x-matroska", "json": "application/json", "txt": "text/plain", "csv": "text/csv", "html": "text/html", "pdf": "application/pdf", "zip": "application/zip", "tar": "application/x-tar", "wav": "audio/x-wav", "mp3": "audio/mpeg",
+}
+
+
+def retryable(status: Column) -> Column:
+    return F.coalesce(status.isin(*RETRYABLE), F.lit(False))
+
+
+def mime(path: Column) -> Column:
+    suffix = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in MIMES.items() for x in kv]), suffix), F.lit("application/octet-stream"))
+
+
+def reply_text(reply: Column) -> Column:
+    """The text of an answer's first choice: as it is, or the texts among its parts, one a line; empty without any."""
+    v = F.try_parse_json(reply)
+    whole, parts = F.try_variant_get(v, "$.choices[0].message.content", "string"), F.try_variant_get(v, "$.choices[0].message.content", "array<variant>")
+    one = lambda p: F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string")).when(F.schema_of_variant(p).startswith("OBJECT"), F.try_variant_get(p, "$.text", "string"))
+    return F.coalesce(F.when(parts.isNotNull(), F.trim(F.array_join(F.array_compact(F.transform(parts, one)), "\n"))), F.trim(whole), F.lit(""))

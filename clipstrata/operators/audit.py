@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipstrata.functions.encode import FAR, NEAR, VALID
@@ -122,3 +122,47 @@ def baseline(positions: DataFrame, key: str) -> DataFrame:
     m = positions.groupBy(key).agg(*[F.avg(c).alias(f"_{c}") for c in "xyz"])
     far = F.sqrt(sum(((F.col(c) - F.col(f"_{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
     return positions.join(m, key).groupBy(key).agg(F.percentile(far, 0.5).alias("extent"))
+
+
+def validated(px: DataFrame, *, expected: int | None = None, classes: int = 12, size: tuple[int, int] | None = None) -> DataFrame:
+    """(seg, frames, height, width, depth_min, depth_max, invalid_fraction, classes_present, problem): segments against the
+    contract a reader of their planes relies on; ``problem`` names the first rule that is broken, null for none.
+
+    Rules, in order: ordinals count from 0 without a hole, there are ``expected`` frames, every frame has one size (``size``
+    as height and width, or that of the segment), and depths are finite and not negative, classes in range.
+    """
+    d = F.col("depth")
+    ok = F.coalesce(~F.isnan(d) & (d > VALID) & (d < float("inf")), F.lit(False))
+    f = px.groupBy("seg", "ordinal").agg(
+        F.count("*").alias("n"), (F.max("r") + 1).alias("h"), (F.max("c") + 1).alias("w"), F.count_if(F.coalesce(F.isnan(d) | (F.abs(d) == float("inf")), F.lit(True))).alias("odd"), F.count_if(d < 0).alias("neg"),
+        F.max("cls").alias("top"), F.min("cls").alias("bottom"), F.count_if(ok).alias("v"), F.min(F.when(ok, d)).alias("lo"), F.max(F.when(ok, d)).alias("hi"), F.collect_set("cls").alias("set"),
+    )
+    s = f.groupBy("seg").agg(
+        F.count("*").alias("frames"), F.min("ordinal").alias("_a"), F.max("ordinal").alias("_b"), F.max("h").alias("height"), F.max("w").alias("width"), F.min(F.struct(F.col("h") * F.col("w"), "n")).alias("_least"),
+        F.count_if((F.col("n") != F.col("h") * F.col("w"))).alias("_holes"), F.min("h").alias("_h"), F.min("w").alias("_w"), F.min(F.when(F.col("odd") > 0, F.col("ordinal"))).alias("_odd"),
+        F.min(F.when(F.col("neg") > 0, F.col("ordinal"))).alias("_neg"), F.min(F.when((F.col("top") >= classes) | (F.col("bottom") < 0), F.col("ordinal"))).alias("_cls"), F.sum("v").alias("_v"), F.sum("n").alias("_n"),
+        F.min("lo").alias("depth_min"), F.coalesce(F.max("hi"), F.lit(0.0)).alias("depth_max"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("set")))).alias("classes_present"),
+    )
+    h, w = (F.lit(size[0]), F.lit(size[1])) if size else (F.col("height"), F.col("width"))
+    grid = (F.col("_holes") > 0) | (F.col("_h") != F.col("height")) | (F.col("_w") != F.col("width")) | (F.col("height") != h) | (F.col("width") != w)
+    wrong = [F.when((F.col("_a") != 0) | (F.col("_b") != F.col("frames") - 1), "ordinals must count from 0 without a hole")]
+    if expected is not None:
+        wrong.append(F.when(F.col("frames") != expected, F.concat(F.lit(f"expected {expected} frames, found "), "frames")))
+    at = lambda c, text: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{text} at ordinal "), c))
+    wrong += [F.when(grid, "frames differ in size"), at("_odd", "depth that is not finite"), at("_neg", "negative depth"), at("_cls", "class out of range")]
+    share = F.round(1 - F.col("_v") / F.col("_n"), 6)
+    return s.select("seg", "frames", "height", "width", F.round("depth_min", 4).alias("depth_min"), F.round("depth_max", 4).alias("depth_max"), share.alias("invalid_fraction"), "classes_present", F.coalesce(*wrong).alias("problem"))
+
+
+def metric_source(solved: Column, metric: Column) -> Column:
+    """Where metres come from: solved cameras, a model that predicts them, or null: they can't be had."""
+    return F.when(solved, "gt_camera_baseline").when(metric, "backend_native")
+
+
+def provenance(report: Column) -> Column:
+    """(depth, refiner, proxy_duv, duv_size): how a clip was made, from its report; null where that can't be told."""
+    v = F.try_parse_json(report)
+    get = lambda path, kind: F.try_variant_get(v, path, kind)
+    size = F.coalesce(get("$.duv_size", "array<int>"), F.array(F.lit(336), F.lit(192)))
+    made = F.struct(get("$.depth.backend", "string").alias("depth"), get("$.semantic.refiner", "string").alias("refiner"), F.coalesce(get("$.proxy_duv", "boolean"), F.lit(False)).alias("proxy_duv"), size.alias("duv_size"))
+    return F.when(v.isNotNull(), made)

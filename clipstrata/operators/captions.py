@@ -357,6 +357,11 @@ def exported(df: DataFrame, *, variant: str = "window", keep_failed: bool = Fals
     return compiled(good).select("clip", T.crlf(F.col("sample.user" if variant == "window" else "sample.timed")).alias("text"))
 
 
+def is_exported(text: Column) -> Column:
+    """Whether a text is one that was exported: it opens with the stamp of its window."""
+    return F.coalesce(text.rlike(r"^\[\d+\.\d{2}s-\d+\.\d{2}s\] "), F.lit(False))
+
+
 def write(df: DataFrame, path: str) -> None:
     """Captions as JSON documents, one a line; readers see all of them or none."""
     df.select(F.lit("caption").alias("contract"), F.lit(1).alias("version"), *[F.col(c) for c in ("clip", "grid", "scene", "entities", "events", "window", "evidence")]).write.mode("overwrite").json(path)

@@ -21,7 +21,8 @@ def canonical_issues(duration: str) -> Column:
     """Issues with lower-case names, times within the clip at two digits, reversed ones in order."""
 
     def one(i: Column) -> Column:
-        at = lambda x: F.round(F.least(F.greatest(x, F.lit(0.0)), F.col(duration)), 2)
+        # a missing time stays missing; least and greatest would skip it
+        at = lambda x: F.when(x.isNotNull(), F.round(F.least(F.greatest(x, F.lit(0.0)), F.col(duration)), 2))
         a, b = at(i["start"]), at(i["stop"])
         return F.struct(
             F.lower(i["track"]).alias("track"), F.lower(i["kind"]).alias("kind"), F.lower(i["severity"]).alias("severity"),

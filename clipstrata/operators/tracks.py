@@ -116,3 +116,47 @@ def protagonist(tracked: DataFrame, frames: DataFrame, h: int, w: int, prior: Pr
     )
     all_ = frames.select("seg").join(t, "seg", "left").join(big, "seg", "left").withColumn("reason", reason)
     return all_.select("seg", F.when(F.col("reason") == "named", F.col("track")).alias("track"), F.round("score", 6).alias("score"), "reason")
+
+
+def blob_pixels(px: DataFrame, cls: int, h: int, w: int) -> DataFrame:
+    """(seg, ordinal, r, c, blob) of the pixels of one class, with the region they belong to."""
+
+    def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        mask = np.zeros((h, w), bool)
+        mask[p["r"], p["c"]] = True
+        lab = label_mask(mask)
+        return p.assign(blob=lab[p["r"], p["c"]])[["seg", "ordinal", "r", "c", "blob"]]
+
+    own = px.filter(F.col("cls") == cls).select(F.col("seg").cast("long").alias("seg"), "ordinal", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"))
+    return own.groupBy("seg", "ordinal").applyInPandas(one, "seg long, ordinal int, r int, c int, blob int")
+
+
+def hero(tracked: DataFrame, frames: DataFrame, *, length: int = 3, presence: float = 0.5, margin: float = 1.5, merged: float = 0.25) -> DataFrame:
+    """(seg, track, score, reason): the track that stays still in the picture while the world goes by, or why none is named.
+
+    A track's wander is the mean of the standard deviations of its places along both axes. ``frames``: (seg, n).
+    """
+    from pyspark.sql import Window
+
+    t = tracked.groupBy("seg", "track").agg(F.count("*").alias("len"), ((F.stddev_pop("x") + F.stddev_pop("y")) / 2).alias("wander"), F.percentile("area", 0.5).alias("area"))
+    t = t.filter(F.col("len") >= length).join(frames, "seg")
+    t = t.withColumn("score", F.col("len") / F.col("n") * F.sqrt("area") / (1 + F.col("wander")))
+    by = Window.partitionBy("seg").orderBy(F.col("score").desc(), "track")
+    t = t.withColumn("_next", F.lead("score").over(by)).withColumn("_i", F.row_number().over(by)).filter("_i = 1")
+    swollen = tracked.join(t.select("seg", "track", F.col("area").alias("_mid")), ["seg", "track"])
+    swollen = swollen.groupBy("seg").agg(F.avg((F.col("area") > 1.6 * F.col("_mid")).cast("double")).alias("_merged"))
+    alone = F.col("_next").isNull()
+    reason = (
+        F.when(F.col("track").isNull(), "no track is long enough").when(alone & (F.col("len") < presence * F.col("n")), "seen too rarely")
+        .when(~alone & (F.col("score") < margin * F.col("_next")), "two tracks are too close").when(F.col("_merged") > merged, "merged with others too often").otherwise("named")
+    )
+    all_ = frames.select("seg").join(t, "seg", "left").join(swollen, "seg", "left").withColumn("reason", reason)
+    return all_.select("seg", F.when(F.col("reason") == "named", F.col("track")).alias("track"), F.round("score", 6).alias("score"), F.round("_merged", 6).alias("merged"), "reason")
+
+
+def relabelled(px: DataFrame, pixels_of: DataFrame, tracked: DataFrame, chosen: DataFrame, to: int) -> DataFrame:
+    """The planes with the chosen track's regions in class ``to``. ``pixels_of``: see ``blob_pixels``."""
+    own = tracked.join(chosen.filter("track IS NOT NULL").select("seg", "track"), ["seg", "track"]).select("seg", "ordinal", "blob")
+    mine = pixels_of.join(own, ["seg", "ordinal", "blob"]).select("seg", "ordinal", "r", "c", F.lit(to).alias("_to"))
+    out = px.join(mine, ["seg", "ordinal", "r", "c"], "left")
+    return out.withColumn("cls", F.coalesce("_to", "cls").cast("int")).drop("_to")

@@ -35,6 +35,18 @@ def seconds_for(frames: Column, fps: float = FPS) -> Column:
     return F.floor(frames / fps * 100) / 100
 
 
+def probes(frames: Column, wanted: int) -> Column:
+    """At most ``wanted`` ordinals that are spread evenly over a clip, each once."""
+    n = F.least(F.lit(wanted), frames)
+    at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.least(F.floor(i * (frames / n)).cast("int"), frames - 1))
+    return F.when(frames > 0, F.array_distinct(at)).otherwise(F.array().cast("array<int>"))
+
+
+def clip_name(scene: Column, index: Column) -> Column:
+    """The name of a window of a scene, which keeps the scene's number."""
+    return F.concat(F.lit("clip_"), F.regexp_replace(scene, "^[^_]*_", ""), F.lit("_"), index)
+
+
 def plan_windows(episodes: DataFrame, scene: str, frames: str, fps: str, *, count: int = CLIPS, length: int = WINDOW, to_fps: float = FPS) -> DataFrame:
     """(scene, idx, k, ordinal): ``count`` even buckets with one window in the middle of each, halves rounded to even.
 

@@ -154,7 +154,14 @@ def camera_scale(spark: SparkSession, where: str) -> DataFrame:
     return s.select("seg", "pairs", F.round("scale", 6).alias("scale"), F.round("dispersion", 6).alias("dispersion"), "solved")
 
 
-@REG.add("blob_counts")
+@REG.add(
+    "blob_counts",
+    PIXELS_SQL.replace("WITH vec", "WITH RECURSIVE vec", 1)
+    + """, own AS (SELECT seg, ordinal, r * 8 + c AS p, r, c FROM px WHERE cls = 2), edge AS (SELECT a.seg, a.ordinal, a.p AS a, b.p AS b FROM own a JOIN own b ON a.seg = b.seg AND a.ordinal = b.ordinal AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1
+), reach AS (SELECT seg, ordinal, a, b FROM edge UNION SELECT r.seg, r.ordinal, r.a, e.b FROM reach r JOIN edge e ON e.seg = r.seg AND e.ordinal = r.ordinal AND e.a = r.b
+), blob AS (SELECT seg, ordinal, root, count(*) AS area FROM (SELECT seg, ordinal, a, min(b) AS root FROM reach GROUP BY ALL) GROUP BY ALL)
+SELECT seg, ordinal, count(*) AS blobs, max(area) AS largest FROM blob GROUP BY ALL""",
+)
 def blob_counts(spark: SparkSession, where: str) -> DataFrame:
     """Regions of one class in each frame that hang together over sides or corners."""
     return tracks.components(pixels(spark, where), 2, 8, 8).groupBy("seg", "ordinal").agg(F.count("*").alias("blobs"), F.max("area").alias("largest"))

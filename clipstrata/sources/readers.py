@@ -243,3 +243,16 @@ def write_frames(px: DataFrame, path: str) -> None:
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The entries of a manifest; a line that isn't one is refused."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def guard_grid(spark: SparkSession, root: str, width: int, height: int) -> bool:
+    """Records the size of a folder's frames once: True if this call did. Frames of another size are refused."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    path = f"{root}/semantic.json"
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
+        put(spark, path, json.dumps({"resolution": {"width": width, "height": height}}).encode())
+        return True
+    held = spark.read.schema("resolution struct<width:int,height:int>").json(path).first()
+    if held and held.resolution and (held.resolution.width, held.resolution.height) != (width, height):
+        raise ValueError(f"{root} holds frames of {held.resolution.width}x{held.resolution.height}; {width}x{height} would mix grids")
+    return False
