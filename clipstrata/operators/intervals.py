@@ -33,17 +33,18 @@ def to_units(x: Column, per_unit: float = 1000.0) -> Column:
 
 
 def _united(piece: DataFrame, names: list[str]) -> DataFrame:
-    """(entity, s, runs): overlapping and touching runs of a shard as one, in linear time and with what Spark can spill."""
-    order = Window.partitionBy(*names, "s").orderBy("a")
+    """(entity, s, f, runs): overlapping and touching runs of a shard as one, in linear time and with what Spark can spill.
+    ``f``: runs of whole shards, which are united by themselves."""
+    order = Window.partitionBy(*names, "s", "f").orderBy("a")
     seen = piece.withColumn("_r", F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1)))
     seen = seen.withColumn("_n", F.sum(F.when(F.col("_r") >= F.col("a"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    run = seen.groupBy(*names, "s", "_n").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    return run.groupBy(*names, "s").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("runs"))
+    run = seen.groupBy(*names, "s", "f", "_n").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return run.groupBy(*names, "s", "f").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
 
-def run_bitmaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """(bitmaps, wholes). Bitmaps: (entity, s, runs), for each shard that is set in part its runs of set units. Wholes:
-    (entity, s1, s2), runs of shards [s1, s2) that are set as a whole; they may overlap each other and cover bitmaps."""
+def run_bitmaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shard: int = SHARD) -> DataFrame:
+    """(entity, s, f, runs): for each shard that is set in part its runs of set units; where ``f`` is true, the one run of
+    shards from ``s`` on that are set as a whole. Those may overlap each other and cover shards that are set in part."""
     keys = [F.col(c).alias(f"_e{i}") for i, c in enumerate(entity)]
     names = [f"_e{i}" for i in range(len(entity))]
     timed = df.filter(F.col(start).isNotNull() & F.col(stop).isNotNull() & (F.col(start) != F.col(stop)))
@@ -64,8 +65,7 @@ def run_bitmaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shar
     # a whole shard counts among the whole ones, wherever it came from
     full = (F.col("e") > F.col("s") + 1) | (F.col("b") - F.col("a") == n)
     longest = piece.withColumn("f", full).groupBy(*names, "s", "f", "a").agg(F.max("b").alias("b"))
-    wholes = longest.filter("f").select(*names, F.col("s").alias("s1"), F.expr(f"b div {shard}").alias("s2"))
-    return _united(longest.filter(~F.col("f")), names), wholes
+    return _united(longest, names)
 
 
 def periods_and_gaps(df: DataFrame, entity: list[str], start: str, stop: str, *, shard: int = SHARD) -> DataFrame:
@@ -77,8 +77,9 @@ def periods_and_gaps(df: DataFrame, entity: list[str], start: str, stop: str, *,
     ignored, whatever their names.
     """
     names = [f"_e{i}" for i in range(len(entity))]
-    bitmaps, wholes = run_bitmaps(df, entity, start, stop, shard=shard)
-    bitmaps = stored(bitmaps, "bitmaps")
+    held = stored(run_bitmaps(df, entity, start, stop, shard=shard), "bitmaps")
+    bitmaps = held.filter(~F.col("f"))
+    wholes = held.filter("f").select(*names, F.col("s").alias("s1"), F.expr(f"runs[0].b div {shard}").alias("s2"))
     n, runs, k = F.lit(shard).cast("long"), F.col("runs"), F.size("runs")
     last = F.element_at(runs, -1)
     # the edges of each shard: where its first and its last run start and stop
