@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,14 +19,36 @@ def shared_dir(spark: SparkSession) -> str:
     if not here:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        here = "file://" + tempfile.mkdtemp(prefix="clipstrata-")
+        own = tempfile.mkdtemp(prefix="clipstrata-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        here = "file://" + own
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(here)
     return here.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A folder of its own in the shared one. ``clear`` deletes those that a session made."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made(spark).append(path)
+    return path
+
+
+def _made(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_clipstrata_folders"):
+        sc._clipstrata_folders = []
+    return sc._clipstrata_folders
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the copies that the operators stored in the shared folder; how many. Results that were made before must have
+    been written or read, as they read from these copies; so must folders that were handed out."""
+    made, n = _made(spark), 0
+    while made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(made.pop())
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
 
 
 def cut(df: DataFrame, *, eager: bool = True) -> DataFrame:
