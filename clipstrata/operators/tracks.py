@@ -160,3 +160,48 @@ def relabelled(px: DataFrame, pixels_of: DataFrame, tracked: DataFrame, chosen:
     mine = pixels_of.join(own, ["seg", "ordinal", "blob"]).select("seg", "ordinal", "r", "c", F.lit(to).alias("_to"))
     out = px.join(mine, ["seg", "ordinal", "r", "c"], "left")
     return out.withColumn("cls", F.coalesce("_to", "cls").cast("int")).drop("_to")
+
+
+def anchor_patch(h: int, w: int, prior: Prior | None = None, reach: float = 0.15) -> tuple[int, int, int, int]:
+    """(top, bottom, left, right), half-open, of the patch about the anchor."""
+    prior = prior or Prior()
+    half, x, y = int(reach * w), int(prior.anchor[0] * w), int(prior.anchor[1] * h)
+    return max(y - half, 0), min(y + half, h), max(x - half, 0), min(x + half, w)
+
+
+def driving(px: DataFrame, cls: int, h: int, w: int, prior: Prior | None = None, *, cover: float = 0.5) -> DataFrame:
+    """(seg, cover, driving): how much of the patch about the anchor a class covers, over all frames."""
+    top, bottom, left, right = anchor_patch(h, w, prior)
+    inside = (F.col("r") >= top) & (F.col("r") < bottom) & (F.col("c") >= left) & (F.col("c") < right)
+    share = F.avg((F.col("cls") == cls).cast("double"))
+    return px.filter(inside).groupBy("seg").agg(F.round(share, 6).alias("cover"), (share > cover).alias("driving"))
+
+
+def owners(masks: DataFrame) -> DataFrame:
+    """(seg, ordinal, r, c, object): of the masks that hold a pixel in a frame, (seg, ordinal, object, r, c), the one with the
+    smallest area there; of equals the later object."""
+    area = masks.groupBy("seg", "ordinal", "object").agg(F.count("*").alias("_a"))
+    x = masks.join(area, ["seg", "ordinal", "object"])
+    return x.groupBy("seg", "ordinal", "r", "c").agg(F.min(F.struct("_a", (-F.col("object")).alias("_o")))["_o"].alias("_o")).select("seg", "ordinal", "r", "c", (-F.col("_o")).alias("object"))
+
+
+def mask_classes(px: DataFrame, masks: DataFrame) -> DataFrame:
+    """(seg, object, cls, votes): the class that most pixels of a mask have over the whole clip, the lowest id of equals."""
+    n = masks.join(px.select("seg", "ordinal", "r", "c", "cls"), ["seg", "ordinal", "r", "c"]).groupBy("seg", "object", "cls").agg(F.count("*").alias("n"))
+    top = n.groupBy("seg", "object").agg(F.max(F.struct("n", (-F.col("cls")).alias("k"))).alias("m"))
+    return top.select("seg", "object", (-F.col("m.k")).alias("cls"), F.col("m.n").alias("votes"))
+
+
+def composed(px: DataFrame, masks: DataFrame) -> DataFrame:
+    """The planes with each pixel that a mask owns in the mask's class, and ``held``; others keep their own."""
+    own = owners(masks).join(mask_classes(px, masks).select("seg", "object", F.col("cls").alias("_to")), ["seg", "object"]).drop("object")
+    out = px.join(own, ["seg", "ordinal", "r", "c"], "left")
+    return out.withColumns({"cls": F.coalesce("_to", "cls").cast("int"), "held": F.col("_to").isNotNull()}).drop("_to")
+
+
+def seeds(px: DataFrame, blobs: DataFrame, held: DataFrame, *, coverage: float = 0.5) -> DataFrame:
+    """(seg, ordinal, cls, blob, agreed): regions that no mask of their own class covers well enough, which start masks of
+    their own. ``blobs``: (seg, ordinal, r, c, cls, blob); ``held``: (seg, ordinal, r, c, cls) of owned pixels with their mask's
+    class. A mask of another class that a region lies in doesn't count for it."""
+    x = blobs.alias("b").join(held.alias("h"), ["seg", "ordinal", "r", "c"], "left").select("seg", "ordinal", F.col("b.cls").alias("cls"), "blob", F.coalesce(F.col("h.cls") == F.col("b.cls"), F.lit(False)).alias("_ok"))
+    return x.groupBy("seg", "ordinal", "cls", "blob").agg(F.avg(F.col("_ok").cast("double")).alias("agreed")).filter(F.col("agreed") < coverage)

@@ -184,17 +184,59 @@ def protagonist(spark: SparkSession, where: str) -> DataFrame:
     return tracks.protagonist(linked, p.groupBy("seg").agg(F.count_distinct("ordinal").alias("n")), 8, 8, tracks.Prior(area=0.01, link=0.3))
 
 
+MASKS_SQL = PIXELS_SQL + """, mask AS (
+  SELECT seg, ordinal, 0 AS object, r, c, cls FROM px WHERE r < 5 UNION ALL SELECT seg, ordinal, 1, r, c, cls FROM px WHERE c < 4 AND ordinal % 4 <> 1
+  UNION ALL SELECT seg, ordinal, 2, r, c, cls FROM px WHERE r >= 3 AND c >= 3 AND ordinal % 3 <> 0 UNION ALL SELECT seg, ordinal, 3, r, c, cls FROM px WHERE (r + c) % 5 = 0
+), v AS (SELECT seg, object, cls, count(*) AS n FROM mask GROUP BY ALL), won AS (SELECT seg, object, cls, n AS votes FROM v QUALIFY row_number() OVER (PARTITION BY seg, object ORDER BY n DESC, cls) = 1
+), area AS (SELECT seg, ordinal, object, count(*) AS a FROM mask GROUP BY ALL
+), own AS (SELECT seg, ordinal, r, c, object FROM mask JOIN area USING (seg, ordinal, object) QUALIFY row_number() OVER (PARTITION BY seg, ordinal, r, c ORDER BY a, object DESC) = 1)"""
+
+
+def _masks(p: DataFrame) -> DataFrame:
+    """Masks that overlap, come and go: what a model that follows regions gives."""
+    r, c, o = F.col("r"), F.col("c"), F.col("ordinal")
+    held = F.array_compact(F.array(F.when(r < 5, 0), F.when((c < 4) & (o % 4 != 1), 1), F.when((r >= 3) & (c >= 3) & (o % 3 != 0), 2), F.when((r + c) % 5 == 0, 3)))
+    return p.select("seg", "ordinal", "r", "c", F.explode(held).alias("object"))
+
+
+@REG.add("masklet_classes", MASKS_SQL + " SELECT seg, object, cls, votes FROM won")
+def masklet_classes(spark: SparkSession, where: str) -> DataFrame:
+    """The class that each mask votes for over its whole clip."""
+    p = pixels(spark, where)
+    return tracks.mask_classes(p, _masks(p))
+
+
 @REG.add(
-    "masklet_classes",
-    PIXELS_SQL
-    + """, v AS (SELECT seg, r // 4 AS a, c // 4 AS b, cls, count(*) AS n FROM px GROUP BY ALL)
-SELECT seg, a, b, cls, n FROM v QUALIFY row_number() OVER (PARTITION BY seg, a, b ORDER BY n DESC, cls) = 1""",
+    "masklet_compose",
+    MASKS_SQL
+    + """, n AS (SELECT px.seg, px.ordinal, coalesce(won.cls, px.cls) AS cls, won.cls IS NOT NULL AS held FROM px LEFT JOIN own USING (seg, ordinal, r, c) LEFT JOIN won ON won.seg = own.seg AND won.object = own.object)
+SELECT seg, cls, count(*) AS pixels, count(*) FILTER (held) AS held FROM n GROUP BY seg, cls""",
 )
-def masklet_classes(spark: SparkSession, where: str) -> DataFrame:
-    """The leading class of each region over the whole clip, the lowest id of equals."""
-    v = pixels(spark, where).groupBy("seg", F.expr("r div 4").alias("a"), F.expr("c div 4").alias("b"), "cls").agg(F.count("*").alias("n"))
-    top = v.groupBy("seg", "a", "b").agg(F.max(F.struct("n", (-F.col("cls")).alias("k"))).alias("m"))
-    return top.select("seg", "a", "b", (-F.col("m.k")).alias("cls"), "m.n")
+def masklet_compose(spark: SparkSession, where: str) -> DataFrame:
+    """Each mask's class over its pixels; where masks overlap the smallest has the pixel."""
+    p = pixels(spark, where)
+    return tracks.composed(p, _masks(p)).groupBy("seg", "cls").agg(F.count("*").alias("pixels"), F.count_if("held").alias("held"))
+
+
+BLOB_SQL = """, mine AS (SELECT seg, ordinal, r * 8 + c AS p, r, c FROM px WHERE cls = 3), edge AS (SELECT a.seg, a.ordinal, a.p AS a, b.p AS b FROM mine a JOIN mine b ON a.seg = b.seg AND a.ordinal = b.ordinal AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1
+), reach AS (SELECT seg, ordinal, a, b FROM edge UNION SELECT r.seg, r.ordinal, r.a, e.b FROM reach r JOIN edge e ON e.seg = r.seg AND e.ordinal = r.ordinal AND e.a = r.b
+), blob AS (SELECT seg, ordinal, a, min(b) AS root FROM reach GROUP BY ALL)"""
+
+
+@REG.add(
+    "masklet_seeds",
+    MASKS_SQL.replace("WITH vec", "WITH RECURSIVE vec", 1)
+    + BLOB_SQL
+    + """, x AS (SELECT b.seg, b.ordinal, b.root, coalesce(won.cls = 3, false) AS ok FROM blob b LEFT JOIN own o ON o.seg = b.seg AND o.ordinal = b.ordinal AND o.r * 8 + o.c = b.a LEFT JOIN won ON won.seg = o.seg AND won.object = o.object)
+SELECT seg, ordinal, count(*) AS seeds FROM (SELECT seg, ordinal, root FROM x GROUP BY ALL HAVING avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) < 0.5) GROUP BY ALL""",
+)
+def masklet_seeds(spark: SparkSession, where: str) -> DataFrame:
+    """Regions of a class that no mask of that class covers."""
+    p = pixels(spark, where)
+    m = _masks(p)
+    held = tracks.owners(m).join(tracks.mask_classes(p, m).select("seg", "object", "cls"), ["seg", "object"])
+    blobs = tracks.blob_pixels(p, 3, 8, 8).withColumn("cls", F.lit(3))
+    return tracks.seeds(p, blobs, held).groupBy("seg", "ordinal").agg(F.count("*").alias("seeds"))
 
 
 @REG.add(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from clipstrata.functions import camera, encode
 from clipstrata.functions import text as T
-from clipstrata.operators import audit, grid, temporal
+from clipstrata.operators import audit, evidence, grid, temporal, tracks
+from clipstrata.plans import windows
 from clipstrata.queries import Registry
 from clipstrata.queries.captions import CAPTION_SQL, LATEST_QUALITY, events
 from clipstrata.queries.frames import DUV_SQL, RECENTRE, duv
@@ -57,12 +58,10 @@ def temporal_metrics(spark: SparkSession, where: str) -> DataFrame:
     return o.groupBy("seg").agg(r(F.avg("j"), "depth_jitter", 4), r(F.max("j"), "depth_jitter_max", 4), r(F.avg("f"), "semantic_flicker", 6), r(F.max("f"), "semantic_flicker_max", 6))
 
 
-@REG.add("driving", PIXELS_SQL + " SELECT seg, round(avg(CASE WHEN cls = 2 THEN 1.0 ELSE 0.0 END), 6) AS cover, avg(CASE WHEN cls = 2 THEN 1.0 ELSE 0.0 END) > 0.5 AS driving FROM px WHERE r BETWEEN 3 AND 5 AND c BETWEEN 3 AND 4 GROUP BY seg")
+@REG.add("driving", PIXELS_SQL + " SELECT seg, round(avg(CASE WHEN cls = 2 THEN 1.0 ELSE 0.0 END), 6) AS cover, avg(CASE WHEN cls = 2 THEN 1.0 ELSE 0.0 END) > 0.5 AS driving FROM px WHERE r BETWEEN 3 AND 4 AND c BETWEEN 3 AND 4 GROUP BY seg")
 def driving(spark: SparkSession, where: str) -> DataFrame:
     """Whether one class covers most of the patch about the anchor."""
-    p = pixels(spark, where).filter(F.col("r").between(3, 5) & F.col("c").between(3, 4))
-    share = F.avg((F.col("cls") == 2).cast("double"))
-    return p.groupBy("seg").agg(F.round(share, 6).alias("cover"), (share > 0.5).alias("driving"))
+    return tracks.driving(pixels(spark, where), 2, 8, 8)
 
 
 @REG.add(
@@ -347,4 +346,27 @@ def reused_judgements(spark: SparkSession, where: str) -> DataFrame:
     return q.groupBy(F.coalesce("prompt", F.lit(-1)).alias("prompt")).agg(F.count("*").alias("clips"), F.count_if(F.col("prompt") >= 2).alias("reused"))
 
 
+MEASURED_SQL = DUV_SQL.replace("WITH vec", "WITH RECURSIVE vec", 1) + """, b AS (SELECT *, CAST(least(ordinal // 24, 4) AS INT) AS bin, CASE WHEN lag(ordinal) OVER w = ordinal - 1 AND lag(red) OVER w < 255 AND red < 255 THEN abs(red - lag(red) OVER w) END AS d FROM grp WINDOW w AS (PARTITION BY seg, r, c ORDER BY ordinal)
+), ped AS (SELECT seg, ordinal, r * 8 + c AS p, r, c FROM grp WHERE g = 4), edge AS (SELECT a.seg, a.ordinal, a.p AS a, b.p AS b FROM ped a JOIN ped b ON a.seg = b.seg AND a.ordinal = b.ordinal AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1
+), reach AS (SELECT seg, ordinal, a, b FROM edge UNION SELECT r.seg, r.ordinal, r.a, e.b FROM reach r JOIN edge e ON e.seg = r.seg AND e.ordinal = r.ordinal AND e.a = r.b
+), blob AS (SELECT seg, ordinal, count(DISTINCT root) AS peds FROM (SELECT seg, ordinal, a, min(b) AS root FROM reach GROUP BY ALL) GROUP BY ALL
+), f AS (SELECT seg, bin, ordinal, count(*) AS n, """ + ", ".join(f"count(*) FILTER (g = {i}) / count(*) AS s{i}" for i in range(8)) + """, avg(d) AS d,
+  round(min(CASE WHEN g = 3 THEN c END) / 8.0, 3) AS x0, round(min(CASE WHEN g = 3 THEN r END) / 8.0, 3) AS y0, round((max(CASE WHEN g = 3 THEN c END) + 1) / 8.0, 3) AS x1, round((max(CASE WHEN g = 3 THEN r END) + 1) / 8.0, 3) AS y1 FROM b GROUP BY seg, bin, ordinal
+), h AS (SELECT seg, bin, quantile_disc(CASE WHEN red < 255 THEN red END, 0.1) AS q1, quantile_disc(CASE WHEN red < 255 THEN red END, 0.5) AS q5, quantile_disc(CASE WHEN red < 255 THEN red END, 0.9) AS q9 FROM b GROUP BY seg, bin
+), facts AS (SELECT seg, bin, count(*) AS frames, CAST(floor(quantile_cont(coalesce(peds, 0), 0.5)) AS INT) AS peds, avg(s3) AS player, avg(s5) AS vehicle, avg(s6) AS ego, avg(s2) AS sky, avg(s1) AS road, avg(s7) AS veg, avg(s0) AS static, coalesce(avg(d), 0) AS d,
+  quantile_cont(x0, 0.5) AS x0, quantile_cont(y0, 0.5) AS y0, quantile_cont(x1, 0.5) AS x1, quantile_cont(y1, 0.5) AS y1 FROM f LEFT JOIN blob USING (seg, ordinal) GROUP BY seg, bin)"""
 
+
+@REG.add(
+    "measured_evidence",
+    MEASURED_SQL
+    + """ SELECT seg, bin, frames, player > 0 AS player, peds, vehicle > 0 AS vehicle, ego > 0 AS ego_vehicle, round(player, 5) AS player_area, round(sky, 3) AS sky_frac, round(road, 3) AS road_frac, round(veg, 3) AS vegetation_frac,
+round(static, 3) AS static_frac, round(x0, 3) AS x0, round(y0, 3) AS y0, round(x1, 3) AS x1, round(y1, 3) AS y1, round(d, 3) AS depth_delta_code, d > 0.5 AS world_moving,
+round(0.1 * pow(80000.0, q1 / 254.0), 1) AS depth_p10_m, round(0.1 * pow(80000.0, q5 / 254.0), 1) AS depth_p50_m, round(0.1 * pow(80000.0, q9 / 254.0), 1) AS depth_p90_m FROM facts JOIN h USING (seg, bin)""",
+)
+def measured_evidence(spark: SparkSession, where: str) -> DataFrame:
+    """What each second of a clip's composite stream shows: who is there, how much of what, how it moves, how far it is."""
+    p = duv(spark, where)
+    p = p.withColumn("g", encode.duv_group(F.col("red"), F.col("green"), F.col("blue"))).select("seg", "ordinal", "r", "c", "red", "g")
+    clips = p.groupBy("seg").agg(F.count_distinct("ordinal").alias("n")).withColumn("rate", F.lit(24.0))
+    return evidence.measured(p, windows.second_grid(clips, "seg", "n", "rate"), 8, 8)

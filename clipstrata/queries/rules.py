@@ -83,6 +83,17 @@ def hero_tracks(spark: SparkSession, where: str) -> DataFrame:
     return chosen.join(n, "seg").select("seg", "reason", "score", "hero_pixels")
 
 
+# by hand: 1.0296 of a width of 8 from the anchor, 4 of 64 pixels; the walker is 0.5256 widths away and named by nobody
+@REG.add("player_tracks", _values([(0, "named", True, 0.157731), (1, "nobody is near the anchor", False, 0.052163)], "seg, reason, named, score"))
+def player_tracks(spark: SparkSession, where: str) -> DataFrame:
+    """The figure near the anchor, or why none is named."""
+    p = _walk(spark)
+    prior = tracks.Prior(area=0.02, link=0.3)
+    linked = tracks.link(tracks.components(p, 4, 8, 8), 8, 8, prior)
+    got = tracks.protagonist(linked, p.groupBy("seg").agg(F.count_distinct("ordinal").alias("n")), 8, 8, prior)
+    return got.select("seg", "reason", F.col("track").isNotNull().alias("named"), "score")
+
+
 FAULTY = """, bad AS (SELECT seg, ordinal, r, c, CASE WHEN seg = 1 AND ordinal = 5 AND r = 0 AND c = 0 THEN -1.0 WHEN seg = 2 AND ordinal = 7 AND r = 1 THEN 'nan'::DOUBLE ELSE depth END AS depth,
   CASE WHEN seg = 3 AND ordinal = 9 AND c = 2 THEN 12 ELSE cls END AS cls FROM px WHERE NOT (seg % 5 = 4 AND ordinal = 1))"""
 
