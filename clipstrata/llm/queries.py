@@ -11,7 +11,7 @@ from clipstrata.llm.mixing import mix
 from clipstrata.llm.ranking import Criterion, least_net, outranking
 from clipstrata.llm.splits import assign, components, sample_key
 from clipstrata.llm.tokens import DEFAULT, with_tokens
-from clipstrata.llm.topn import reads, top_n
+from clipstrata.llm.topn import LEAST_ROWS, SHARE, reads, top_n
 from clipstrata.queries import Registry
 from clipstrata.session import cut, finite, latest, looked_up, stored
 from clipstrata.sources.tables import clip_scene, stated_scene, table
@@ -199,11 +199,19 @@ def p5_reads(spark: SparkSession, where: str) -> DataFrame:
 
 @REG.add(
     "p5_skipped",
-    LATEST_SQL + " SELECT count(*) AS scored, true AS some_skipped FROM sc WHERE isfinite(semantic_flicker) OR abs(semantic_flicker) = 'infinity'::DOUBLE",
+    LATEST_SQL
+    + """, named AS (SELECT coalesce(CASE WHEN trim(scene) NOT IN ('', '?') THEN scene END, 'seg_' || split_part(clip, '_', 2)) AS scene FROM sc WHERE isfinite(semantic_flicker) OR abs(semantic_flicker) = 'infinity'::DOUBLE
+), n AS (SELECT scene, count(*) AS n FROM named GROUP BY scene)
+SELECT CAST(sum(n) AS BIGINT) AS scored, max(n) AS largest, true AS skipped_where_due FROM n""",
 )
 def p5_skipped(spark: SparkSession, where: str) -> DataFrame:
-    """All rows are accounted for, read or skipped, and some could be skipped."""
-    return reads(*best_of_scenes(spark, where)).agg(F.sum("n_rows").alias("scored"), F.bool_or(F.col("wave") == "skipped").alias("some_skipped"))
+    """All rows are accounted for, read or skipped; where the largest scene fills five row groups, some must have been skipped."""
+    scores = scene_scores(spark, where).filter(F.col("semantic_flicker").isNotNull() & ~F.isnan("semantic_flicker"))
+    largest = scores.groupBy("scene").agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"))
+    got = reads(*best_of_scenes(spark, where)).agg(F.sum("n_rows").alias("scored"), F.bool_or(F.col("wave") == "skipped").alias("some"))
+    rows = F.greatest(F.floor(F.col("scored") / SHARE), F.lit(LEAST_ROWS))
+    one = got.crossJoin(F.broadcast(largest))  # one row each
+    return one.select("scored", "largest", ((F.col("largest") < 5 * rows) | F.col("some")).alias("skipped_where_due"))
 
 
 def mixed(spark: SparkSession, where: str) -> tuple[DataFrame, DataFrame]:
