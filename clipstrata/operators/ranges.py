@@ -33,23 +33,40 @@ def numbered(df: DataFrame, by: str, out: str = "i") -> DataFrame:
     return one.select(*df.columns, (F.col("_nth") - 1).alias(out))
 
 
+def _band(v: Column) -> Column:
+    """A whole number that never falls as the value rises: 512 bands for each doubling, on either side of 0."""
+    far = lambda x: (F.least(F.greatest(F.floor(F.log2(x) * 512), F.lit(-600_000)), F.lit(600_000)) + 600_001).cast("int")
+    return F.when(v > 0, far(v)).when(v < 0, -far(-v)).otherwise(0)
+
+
 def quantiles(df: DataFrame, keys: list[str], value: Column, at: dict[str, float]) -> DataFrame:
     """(*keys, names of ``at``): exact quantiles of each group's values, with a straight line between the two nearest.
 
-    Values that are null or NaN are left out; a group without any, or no group at all, gives no row. Equal values are counted
-    before they move, and the counts are totalled by ranges that cut through groups: a group that holds all rows is no hot task.
+    Values that are null or NaN are left out; a group without any, or no group at all, gives no row. A first pass counts by
+    bands, which shows in which bands the quantiles lie. Only values of those bands go on, counted by value before they move
+    and totalled by ranges that cut through groups and bands: a group that holds all rows is no hot task, whatever its values.
     """
     key = keys or ["_all"]
     base = (df if keys else df.withColumn("_all", F.lit(0))).select(*key, value.cast("double").alias("_v"))
-    counts = base.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*key, "_v").agg(F.count("*").alias("_n"))
-    upto = running(counts, "_v", {"_u": F.col("_n")}, within=key)
-    total = upto.groupBy(*key).agg(F.max("_u").alias("_t"))
-    # the totals are one row a group; a group that holds a large part of the rows has its row sent to all tasks
-    big = F.broadcast(total) if total.limit(100_001).count() <= 100_000 else total
-    x = upto.join(big, key)
+    base = base.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).withColumn("_b", _band(F.col("_v")))
+    bands = stored(base.groupBy(*key, "_b").agg(F.count("*").alias("_n")), "bands")
+    w = Window.partitionBy(*key).orderBy("_b")  # as many rows as bands
+    bands = bands.withColumns({"_u": F.sum("_n").over(w), "_t": F.sum("_n").over(Window.partitionBy(*key))})
     place = lambda q: (F.col("_t") - 1) * F.lit(q)
+    ranks = [r for q in at.values() for r in (F.floor(place(q)) + 1, F.ceil(place(q)) + 1)]
+    asked = F.lit(False)
+    for r in ranks:
+        asked = asked | ((F.col("_u") - F.col("_n") < r) & (r <= F.col("_u")))
+    there = bands.filter(asked).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_b").alias("_kb"), (F.col("_u") - F.col("_n")).alias("_o"), "_t")
+    few = there.limit(100_001).count() <= 100_000  # some 40 bytes a row
+    if not few:  # many groups: their values are counted first, so that none is a hot key of the join
+        base = base.groupBy(*key, "_b", "_v").agg(F.count("*").alias("_n"))
+    same = F.expr(" AND ".join([*[f"`{k}` <=> _k{i}" for i, k in enumerate(key)], "_b = _kb"]))
+    x = base.join(F.broadcast(there) if few else there, same)
+    counts = x.groupBy(*key, "_b", "_v", "_o", "_t").agg((F.count("*") if few else F.sum("_n")).alias("_n"))
+    upto = running(counts, "_v", {"_u": F.col("_n")}, within=[*key, "_b"]).withColumn("_u", F.col("_u") + F.col("_o"))
     low = lambda q: F.min(F.when(F.col("_u") >= F.floor(place(q)) + 1, F.col("_v")))
     high = lambda q: F.min(F.when(F.col("_u") >= F.ceil(place(q)) + 1, F.col("_v")))
     part = lambda q: F.max(place(q) - F.floor(place(q)))
-    out = x.groupBy(*key).agg(*[(low(q) + (high(q) - low(q)) * part(q)).alias(n) for n, q in at.items()])
+    out = upto.groupBy(*key).agg(*[F.when(low(q) == high(q), low(q)).otherwise(low(q) + (high(q) - low(q)) * part(q)).alias(n) for n, q in at.items()])
     return out.select(*keys, *at)
