@@ -83,9 +83,10 @@ def overlay(base: Column, patch: Column, mask: Column) -> Column:
     return F.when(wins, patch).otherwise(base)
 
 
-def duv_red(metres: Column, eleven: Column) -> Column:
-    """Forward log depth, near 0 to far 254; 255 for sky and where there is no depth."""
-    code = F.rint((1.0 - _fraction(metres, DUV_NEAR, DUV_FAR)) * float(DUV_TOP)).cast("int")
+def duv_red(metres: Column, eleven: Column, *, inverted: bool = False) -> Column:
+    """Log depth, near 0 to far 254, or the other way round; 255 for sky and where there is no depth."""
+    share = _fraction(metres, DUV_NEAR, DUV_FAR)
+    code = F.rint((share if inverted else 1.0 - share) * float(DUV_TOP)).cast("int")
     return F.when(~known(metres) | (eleven == 0), DUV_SKY).otherwise(code)
 
 
@@ -127,3 +128,15 @@ def class_table(names: list[str], to: dict[str, int], default: int | None = None
     if lacking and default is None:
         raise KeyError(f"no class for: {', '.join(lacking)}")
     return [to.get(n, default) for n in names]
+
+
+def calibrated(depth: Column, scale: float, shift: float = 0.0, valid: Column | None = None) -> Column:
+    """Depth times a scale plus a shift; 0 where there is none: not a positive finite number, or not valid to its model."""
+    ok = ~F.isnan(depth) & (depth > 0) & (depth < float("inf"))
+    ok = ok if valid is None else ok & valid
+    return F.when(F.coalesce(ok, F.lit(False)), depth * scale + shift).otherwise(0.0)
+
+
+def id_frame(ids: Column) -> tuple[Column, Column, Column]:
+    """(red, green, blue) that carry a class id through a lossless encoder."""
+    return F.lit(0), F.lit(0), ids.cast("int")

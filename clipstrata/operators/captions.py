@@ -165,7 +165,7 @@ def cut_to(df: DataFrame, start: Column, stop: Column) -> DataFrame:
     named = F.array_distinct(F.concat(F.transform("events", lambda e: e["entity"]), F.transform("events", lambda e: e["target"])))
     x = x.withColumn("_named", F.array_compact(named))
     x = x.withColumn("entities", F.filter(F.transform("entities", lambda e: e.withField("bins", moved(e["bins"]))), lambda e: (F.size(e["bins"]) > 0) | F.array_contains("_named", e["id"])))
-    w, last = F.col("window"), F.element_at("grid", -1)
+    w, last = F.col("window"), F.try_element_at(F.col("grid"), F.lit(-1))
     window = F.struct(
         w["clip"].alias("clip"), F.round(F.coalesce(w["t0"], F.lit(0.0)) + F.col("_off"), 3).alias("t0"), last["stop"].alias("duration"),
         (F.coalesce(w["frame_offset"], F.lit(0)) + F.col("_f0")).alias("frame_offset"), last["stop_frame"].alias("frames"), w["clip"].alias("sliced_from"),
@@ -225,7 +225,7 @@ def score(events: Column, checks: Column) -> Column:
 
 def event_form(e: Column, b: Column, final: Column) -> Column:
     """start, already, again, last or continue: the place of a bin in an event, as far as the window can tell."""
-    at, last = F.array_position(e["bins"], b) - 1, F.element_at(e["bins"], -1)
+    at, last = F.array_position(e["bins"], b) - 1, F.try_element_at(e["bins"], F.lit(-1))
     ends = (b == last) & ~e["continues_after"] & (last != final)
     return F.when(at == 0, F.when(e["starts_before"], "already").otherwise("start")).when(ends & (F.size(e["bins"]) >= 3), "last").when(at == 1, "again").otherwise("continue")
 
@@ -243,7 +243,7 @@ def _prepared(df: DataFrame) -> DataFrame:
         e["starts_before"].alias("starts_before"), e["continues_after"].alias("continues_after"), T.conjugated(e["verb"], e["channel"], 0).alias("third"), T.conjugated(e["verb"], e["channel"], 1).alias("gerund"),
         more(e, "phrase").alias("lean"), more(e, "phrase_rich").alias("rich"), F.when(e["channel"] != "camera", F.get(F.filter("_names", lambda n: n["id"] == e["entity"]), F.lit(0))).alias("who")))
     df = df.withColumn("_ev", F.array_sort(ev))  # in the paragraph's order
-    final = F.element_at("grid", -1)["index"]
+    final = F.try_element_at(F.col("grid"), F.lit(-1))["index"]
     told = F.flatten(F.transform("_ev", lambda e: F.transform(e["bins"], lambda b: F.struct(
         b.alias("b"), e["at"]["r"].alias("r"), e["at"]["i"].alias("i"), e.alias("e"), event_form(e, b, final).alias("form")))))
     # within a bin subjects come before the camera, and events in the order they were given
@@ -338,7 +338,7 @@ def compiled(df: DataFrame) -> DataFrame:
     for style in ("lean", "rich"):
         df = df.withColumn(style, F.struct(paragraph(style).alias("paragraph"), lines(style).alias("bins")))
     start = F.coalesce(F.col("window.t0"), F.lit(0.0))
-    stop = start + F.coalesce(F.col("window.duration"), F.element_at("grid", -1)["stop"])
+    stop = start + F.coalesce(F.col("window.duration"), F.try_element_at(F.col("grid"), F.lit(-1))["stop"])
     stamped = F.zip_with("grid", F.col("lean.bins"), lambda g, text: F.concat_ws(" ", T.stamp(g["start"] + start, g["stop"] + start), text))
     df = df.withColumn("timed", F.struct(F.col("lean.paragraph").alias("paragraph"), facing_line().alias("facing"), start.alias("offset"), F.array_join(stamped, "\n").alias("script")))
     prose = F.trim("lean.paragraph")

@@ -441,3 +441,44 @@ def bins_covering(spark: SparkSession, where: str) -> DataFrame:
         F.col("x.start").isNotNull() & F.col("x.stop").isNotNull() & (F.col("a") < F.col("b"))
     )
     return i.select("clip", "a", "b", F.explode(F.sequence(F.floor("a").cast("int"), F.ceil("b").cast("int") - 1)).alias("second"))
+
+
+@REG.add(
+    "duv_modes",
+    DUV_SQL
+    + """ SELECT seg, ordinal, r, c, CAST(CASE WHEN red = 255 THEN 255 ELSE round_even((ln(8000.0) - ln(least(greatest(depth, 0.1), 8000.0))) / (ln(8000.0) - ln(0.1)) * 254, 0) END AS INT) AS inverted,
+CASE WHEN e = 3 AND ordinal % 2 = 1 THEN 128 ELSE green END AS green, CASE WHEN e = 3 AND ordinal % 2 = 1 THEN 0 ELSE blue END AS blue FROM (SELECT duv.*, px.depth FROM duv JOIN px USING (seg, ordinal, r, c))""",
+)
+def duv_modes(spark: SparkSession, where: str) -> DataFrame:
+    """The composite with near and far the other way round, and with the own vehicle in its colour on driving frames."""
+    p = pixels(spark, where).withColumn("e", encode.lookup(F.col("cls"), encode.TWELVE_TO_ELEVEN))
+    g, b = encode.duv_green_blue(F.col("e"), F.col("ordinal") % 2 == 1)
+    return p.select("seg", "ordinal", "r", "c", encode.duv_red(F.col("depth"), F.col("e"), inverted=True).alias("inverted"), g.alias("green"), b.alias("blue"))
+
+
+@REG.add("calibrated_depth", PIXELS_SQL + " SELECT seg, ordinal, r, c, CASE WHEN depth > 0 AND cls <> 11 THEN depth * 1.5 + 0.25 ELSE 0 END AS metres FROM px")
+def calibrated_depth(spark: SparkSession, where: str) -> DataFrame:
+    """Depth brought to metres where it is valid, to its model as well."""
+    return pixels(spark, where).select("seg", "ordinal", "r", "c", encode.calibrated(F.col("depth"), 1.5, 0.25, F.col("cls") != 11).alias("metres"))
+
+
+@REG.add(
+    "two_hop_reduce",
+    PIXELS_SQL
+    + """, t AS (SELECT CAST(a.i AS INT) AS r2, CAST(b.i AS INT) AS c2 FROM range(12) a(i), range(12) b(i)), n AS (SELECT seg, ordinal, r2 // 3 AS br, c2 // 3 AS bc, depth, cls FROM px JOIN t ON px.r = (r2 * 8) // 12 AND px.c = (c2 * 8) // 12
+), d AS (SELECT seg, ordinal, br, bc, round(coalesce(quantile_cont(CASE WHEN depth > 1e-3 THEN depth END, 0.5), 0), 6) AS median FROM n GROUP BY ALL
+), v AS (SELECT seg, ordinal, br, bc, cls FROM (SELECT seg, ordinal, br, bc, cls, count(*) AS n FROM n GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY seg, ordinal, br, bc ORDER BY n DESC, cls) = 1)
+SELECT * FROM d JOIN v USING (seg, ordinal, br, bc)""",
+)
+def two_hop_reduce(spark: SparkSession, where: str) -> DataFrame:
+    """Planes brought to a multiple of the grid by nearest pixels first, so that no value is invented, then reduced in blocks."""
+    n = grid.nearest(pixels(spark, where), ["seg", "ordinal"], 8, 8, 12, 12, ["depth", "cls"])
+    d = grid.block_depth(n, ["seg", "ordinal"], "depth", 3, 3).select("seg", "ordinal", "br", "bc", F.round("median", 6).alias("median"))
+    return d.join(grid.block_vote(n, ["seg", "ordinal"], "cls", 3, 3, 12), ["seg", "ordinal", "br", "bc"])
+
+
+@REG.add("id_frames", PIXELS_SQL + " SELECT seg, cls AS blue, 0 AS red, 0 AS green, count(*) AS n FROM px GROUP BY seg, cls")
+def id_frames(spark: SparkSession, where: str) -> DataFrame:
+    """Classes as frames for a lossless encoder: the id in blue alone."""
+    red, green, blue = encode.id_frame(F.col("cls"))
+    return pixels(spark, where).groupBy("seg", blue.alias("blue"), red.alias("red"), green.alias("green")).agg(F.count("*").alias("n"))

@@ -332,3 +332,27 @@ def tidy_issues(spark: SparkSession, where: str) -> DataFrame:
     q = latest(table(spark, where, "quality"), ["clip"], "written_at", ["written_at", "issues", "duration"])
     i = q.select("clip", F.explode(gating.canonical_issues("duration")).alias("i"))
     return i.groupBy("clip").agg(F.count("*").alias("issues"), F.count_if(F.col("i.start").isNotNull() & F.col("i.stop").isNotNull()).alias("timed"), F.count_if(F.col("i.severity") == "major").alias("major"))
+
+
+ENV = "# comment\n\nA=1\n B = 'two words' ,\nC=\"x=y\"\nD=held\nnothing\n=odd\nA=again\nE=,\n"
+
+
+@REG.add("env_settings", _values([("A", "1"), ("B", "two words"), ("C", "x=y"), ("E", "")], "key, value"))
+def env_settings(spark: SparkSession, where: str) -> DataFrame:
+    """Settings from a file, never above what is already set."""
+    path = new_folder(spark, "env") + "/.env"
+    readers.put(spark, path, ENV.encode())
+    return readers.settings(spark, path, {"D": "own"})
+
+
+SCENE = [("depth", "000000.npy"), ("depth", "000001.npy"), ("semantic", "000000.png"), ("color", "000000.png"), (None, "odd.partial")]
+
+
+@REG.add("dropped_streams", _values([("none", 5), ("all", 1), ("depth", 3), (" Depth, semantic", 2)], "keep, gone"))
+def dropped_streams(spark: SparkSession, where: str) -> DataFrame:
+    """How many files of a scene go for each choice of streams to keep; what belongs to none goes with the rest."""
+    files, out = spark.createDataFrame(SCENE, "stream string, name string"), None
+    for keep in ("none", "all", "depth", " Depth, semantic"):
+        one = readers.dropped(files, readers.kept_streams(keep)).agg(F.count("*").alias("gone")).select(F.lit(keep).alias("keep"), "gone")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -256,3 +256,40 @@ def guard_grid(spark: SparkSession, root: str, width: int, height: int) -> bool:
     if held and held.resolution and (held.resolution.width, held.resolution.height) != (width, height):
         raise ValueError(f"{root} holds frames of {held.resolution.width}x{held.resolution.height}; {width}x{height} would mix grids")
     return False
+
+
+# The streams of a scene that are kept as single frames.
+STREAMS = ("color", "depth", "semantic", "duv")
+
+
+def kept_streams(value: str, known: tuple[str, ...] = STREAMS) -> tuple[str, ...]:
+    """The streams that a list names; none, all, or some by name. A name that isn't known is refused."""
+    text = value.strip().lower()
+    if text in ("", "none"):
+        return ()
+    chosen = known if text == "all" else tuple(p.strip() for p in text.split(",") if p.strip())
+    unknown = [c for c in chosen if c not in known]
+    if unknown:
+        raise ValueError(f"unknown streams: {', '.join(unknown)}; expected some of {', '.join(known)}, or none")
+    return chosen
+
+
+def dropped(files: DataFrame, keep: tuple[str, ...], *, stream: str = "stream") -> DataFrame:
+    """The files of a scene that go once its videos are written: those of streams that aren't kept."""
+    return files.filter(~F.coalesce(F.col(stream).isin(*keep), F.lit(False))) if keep else files
+
+
+def settings(spark: SparkSession, path: str, environ: dict[str, str]) -> DataFrame:
+    """(key, value) of a file of KEY=VALUE lines: comments and lines without a key left out, quotes and a comma at the end
+    taken off, of repeated keys the first. What the environment already sets stands."""
+    t = F.trim(F.col("value"))
+    at = F.instr(t, "=")
+    at_ = spark._jvm.org.apache.hadoop.fs.Path(path)  # names with a dot in front are hidden from the session's readers
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(at_.getFileSystem(spark._jsc.hadoopConfiguration()).open(at_), "UTF-8")
+    rows = spark.createDataFrame([(text,)], "value string").select(F.posexplode(F.split("value", "\r?\n")).alias("i", "value"))
+    rows = rows.filter((at > 1) & ~t.startswith("#")).select("i", F.trim(F.substring(t, F.lit(1), at - 1)).alias("key"), F.trim(F.rtrim(F.trim(F.substring(t, at + 1, F.length(t))), F.lit(","))).alias("v"))
+    quoted = F.col("v").rlike("^(\"[^\n]*\"|'[^\n]*')$") & (F.length("v") >= 2)
+    rows = rows.filter("key <> ''").select("i", "key", F.when(quoted, F.substring(F.col("v"), F.lit(2), F.length("v") - 2)).otherwise(F.col("v")).alias("value"))
+    first = rows.groupBy("key").agg(F.min(F.struct("i", "value"))["value"].alias("value"))
+    held = list(environ)
+    return first.filter(~F.col("key").isin(*held)) if held else first

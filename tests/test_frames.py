@@ -8,9 +8,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from clipstrata.functions import encode
+from clipstrata.functions import camera, encode
 from clipstrata.functions import text as T
-from clipstrata.operators import audit, temporal, tracks
+from clipstrata.operators import audit, captions, temporal, tracks
 from clipstrata.plans import windows
 from clipstrata.queries import audits
 from clipstrata.session import new_folder
@@ -205,3 +205,37 @@ def test_text(spark):
     j = spark.createDataFrame([('x {"a": 1} y',), ("none",), ('{"a": 2}',), (None,)], "t string")
     assert [x[0] for x in j.select(F.try_variant_get(T.json_object(F.col("t")), "$.a", "int")).collect()] == [1, None, 2, None]
     assert pd is not None
+
+
+def test_refusals(spark):
+    """What the rules refuse is refused, with a reason."""
+    one = spark.range(1)
+    assert one.select(encode.to_twelve(F.lit(11), "cwm12").alias("x")).first().x == 11
+    with pytest.raises(Exception, match="contain id 12"):
+        one.select(encode.to_twelve(F.lit(12), "cwm12").alias("x")).collect()
+    with pytest.raises(ValueError, match="no table"):
+        encode.to_twelve(F.lit(1), "unknown")
+    assert encode.class_table(["a", "b"], {"a": 3}, 0) == [3, 0]
+    with pytest.raises(KeyError, match="no class for: b"):
+        encode.class_table(["a", "b"], {"a": 3})
+    with pytest.raises(Exception, match="unsupported camera model"):
+        one.select(camera.intrinsics(F.lit("ODD"), F.array(F.lit(1.0))).alias("x")).collect()
+    with pytest.raises(Exception, match="length zero"):
+        one.select(camera.rotation(*[F.lit(0.0)] * 4).alias("x")).collect()
+    with pytest.raises(ValueError, match="unknown streams: typo"):
+        readers.kept_streams("depth, typo")
+    with pytest.raises(ValueError, match="unknown variant"):
+        captions.exported(one, variant="odd")
+
+
+def test_captions_without_anything(spark):
+    """Nulls and empty lists give a caption with problems, no checks and an empty text; clashing names don't matter."""
+    grid = F.array().cast(captions.GRID)
+    r = spark.createDataFrame([("a", "{}", 1), ("b", None, 1), ("c", "no object", 1)], "clip string, reply string, who int")
+    x = r.withColumn("grid", grid).withColumn("x", captions.read_reply(F.col("reply"), grid)).filter("x IS NOT NULL")
+    c = x.select("clip", "who", "grid", "x.scene", "x.entities", "x.events", F.lit(None).cast(captions.WINDOW).alias("window"), F.lit(None).cast(captions.EVIDENCE).alias("evidence"))
+    got = c.withColumns({"p": captions.problems(), "c": captions.check()}).select("clip", "p", "c", captions.score(F.col("events"), F.col("c")).alias("s")).collect()
+    assert [(g.clip, g.p, g.c.checked, g.c.fail, g.s) for g in got] == [("a", ["scene.medium is empty"], False, [], 0.0)]
+    assert captions.cut_to(c, F.lit(0.0), F.lit(9.0)).count() == 0
+    with pytest.raises(Exception, match="paragraph is empty"):
+        captions.compiled(c).collect()
