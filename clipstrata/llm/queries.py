@@ -116,6 +116,27 @@ def p3_found(spark: SparkSession, where: str) -> DataFrame:
     return a.join(b, "root").filter(F.col("scene_a") < F.col("scene_b")).select("scene_a", "scene_b")
 
 
+GROUPS_SQL = r"""
+WITH RECURSIVE ep AS (
+  SELECT regexp_replace(trim(lower(sample_id), ' ' || chr(9) || chr(10) || chr(160)), '[\s_\-]+', '_', 'g') AS s, scene FROM episodes WHERE trim(scene) NOT IN ('', '?')
+), named AS (SELECT DISTINCT scene FROM ep UNION SELECT 'seg_' || split_part(clip, '_', 2) FROM scored WHERE clip IS NOT NULL UNION SELECT scene FROM scored WHERE trim(scene) NOT IN ('', '?')
+), tie AS (
+  SELECT x.scene AS a, y.scene AS b FROM ep x JOIN ep y USING (s) WHERE s NOT IN ('', '-', '_', 'n/a', 'unknown', 'none', 'null') AND x.scene <> y.scene
+  UNION SELECT 'seg_' || split_part(clip, '_', 2), scene FROM scored WHERE trim(scene) NOT IN ('', '?') AND scene <> 'seg_' || split_part(clip, '_', 2)
+), edge AS (SELECT a, b FROM tie UNION SELECT b, a FROM tie
+), reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a
+), root AS (SELECT scene, least(scene, coalesce(min(b), scene)) AS root FROM named LEFT JOIN reach ON a = scene GROUP BY scene)
+SELECT scene, root, count(*) OVER (PARTITION BY root) - 1 AS links FROM root"""
+
+
+@REG.add("p3_groups", GROUPS_SQL)
+def p3_groups(spark: SparkSession, where: str) -> DataFrame:
+    """One row a scene: the least scene it is tied to, and to how many others it is tied directly or by a chain."""
+    g = cut(scene_groups(spark, where).distinct().select("scene", F.regexp_replace("root", "^scene:", "").alias("root")))
+    links = g.groupBy("root").agg((F.count("*") - 1).alias("links"))
+    return looked_up(g, links, "root", "scene").select("scene", "root", "links")
+
+
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
